@@ -14,9 +14,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
-from payscore.functions import argmax, softmax, sum_arrays
+from payscore.functions import argmax, constant, softmax, sum_arrays
 from payscore.operators.encode import slot_entries
-from payscore.shared import Stored, lookup, store
+from payscore.shared import Stored, lookup, lookup_each, store
 
 MULTINOMIAL = "multinomial"
 BERNOULLI = "bernoulli"
@@ -349,17 +349,19 @@ def start_scores(params: Params) -> list[float]:
 
 
 def add_slot_terms(
-    df: DataFrame, table: Stored, slots: Sequence[str], codes: str, keys: Mapping[str, str], value: str
+    df: DataFrame, levels: Stored, slots: Sequence[str], codes: str, kind: str, by: Column | None = None
 ) -> tuple[DataFrame, list[str]]:
     """Look up every slot's code and add its array of score terms, null for an unknown code."""
-    names = [f"_term_{i}" for i in range(len(slots))]
+    terms, dims = [f"_term_{i}" for i in range(len(slots))], []
     for i, s in enumerate(slots):
-        part = table.df.where(F.col("slot") == s).select(
-            *keys.values(), F.col("code").alias("_c"), F.col(value).alias(names[i])
-        )
-        df = df.withColumn("_code", F.get(F.col(codes), F.lit(i)))
-        df = lookup(df, Stored(part, table.rows, table.row_bytes), {"_code": "_c", **keys}).drop("_code")
-    return df, names
+        chosen = [F.col("code").alias(f"_c_{i}"), score_theta(F.col("theta"), kind).alias(terms[i])]
+        on = [(F.get(F.col(codes), F.lit(i)), f"_c_{i}")]
+        if by is not None:
+            chosen.append(F.col("model_id").alias(f"_m_{i}"))
+            on.append((by, f"_m_{i}"))
+        part = levels.df.where(F.col("slot") == s).select(*chosen)
+        dims.append((Stored(part, levels.rows, levels.row_bytes), on))
+    return lookup_each(df, dims), terms
 
 
 def log_joint(
@@ -376,24 +378,20 @@ def log_joint(
     every row is scored by the model named in that column.
     """
     slots = list(slots or model.slots)
-    value = score_theta(F.col("theta"), model.kind)
-    levels = model.levels.df.select(F.col("model_id").alias("_m"), "slot", "code", value.alias("_theta"))
-    table = Stored(levels, model.levels.rows, model.levels.row_bytes)
+    model_id = None if by is None else F.col(by).cast("string")
     if by is None:
         if len(model.params) != 1:
             raise ValueError("several models: name the column that selects one, or blend them")
         (params,) = model.params.values()
-        start = F.array(*[F.lit(x) for x in start_scores(params)])
-        df, names = add_slot_terms(df, table, slots, codes, {}, "_theta")
+        start = constant(start_scores(params))
     else:
         rows = [(m, start_scores(p)) for m, p in model.params.items()]
         starts = local_table(df.sparkSession, rows, "_m string, _start array<double>", 128 + 8 * model.width)
-        df = df.withColumn("_by", F.col(by).cast("string"))
-        df = lookup(df, starts, {"_by": "_m"})
-        df, names = add_slot_terms(df, table, slots, codes, {"_by": "_m"}, "_theta")
+        df = lookup_each(df, [(starts, [(model_id, "_m")])])
         start = F.col("_start")
-    df = df.withColumn(out, sum_arrays(start, [F.col(n) for n in names], model.width))
-    return df.drop(*names, "_by", "_start")
+    df, terms = add_slot_terms(df, model.levels, slots, codes, model.kind, model_id)
+    df = df.withColumn(out, sum_arrays(start, [F.col(t) for t in terms], model.width))
+    return df.drop(*terms, "_start")
 
 
 def class_label(labels: Sequence[float], index: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payscore.functions import category_value
-from payscore.shared import Stored, lookup, numbered, store
+from payscore.shared import Stored, lookup_each, numbered, store
 from payscore.sources.config import Feature
 
 SEPARATOR = "_"
@@ -19,12 +19,13 @@ def portrait(df: DataFrame, catalog: Stored, features: Sequence[Feature], out: s
 
     One lookup per feature, with no regrouping of rows; a value without a code adds nothing.
     """
-    names = [f"_code_{f.pcode}" for f in features]
-    for f, name in zip(features, names):
+    names, dims = [f"_code_{i}" for i in range(len(features))], []
+    for i, f in enumerate(features):
         codes = catalog.df.where(F.col("feature_pcode") == f.pcode)
-        codes = codes.select(F.col("feature_value").alias("_v"), F.col("feature_code").alias(name))
-        df = df.withColumn("_value", category_value(F.col(f.col_name)))
-        df = lookup(df, Stored(codes, catalog.rows, catalog.row_bytes), {"_value": "_v"}).drop("_value")
+        codes = codes.select(F.col("feature_value").alias(f"_v_{i}"), F.col("feature_code").alias(names[i]))
+        on = [(category_value(F.col(f.col_name)), f"_v_{i}")]
+        dims.append((Stored(codes, catalog.rows, catalog.row_bytes), on))
+    df = lookup_each(df, dims)
     return df.withColumn(out, F.array_join(F.array_sort(F.array(*names)), SEPARATOR)).drop(*names)
 
 
@@ -112,11 +113,11 @@ def encode(
     The vector's length is fixed by ``index``. A code counts only in its own slot, and an
     unknown code sets no position.
     """
-    names = [f"_pos_{i}" for i in range(len(slots))]
+    names, dims = [f"_pos_{i}" for i in range(len(slots))], []
     for i, s in enumerate(slots):
-        table = index.df.where(F.col("slot") == s).select(F.col("code").alias("_c"), F.col("pos").alias(names[i]))
-        df = df.withColumn("_code", F.get(F.col(codes), F.lit(i)))
-        df = lookup(df, Stored(table, index.rows, index.row_bytes), {"_code": "_c"}).drop("_code")
+        table = index.df.where(F.col("slot") == s).select(F.col("code").alias(f"_c_{i}"), F.col("pos").alias(names[i]))
+        dims.append((Stored(table, index.rows, index.row_bytes), [(F.get(F.col(codes), F.lit(i)), f"_c_{i}")]))
+    df = lookup_each(df, dims)
     return df.withColumn(out, F.array_compact(F.array(*names))).drop(*names)
 
 

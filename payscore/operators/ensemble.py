@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payscore.functions import argmax, chunks, confidence, constant, let, softmax, sum_arrays, total, votes
-from payscore.operators.bayes import Model, add_slot_terms, class_label, score_theta, start_scores
+from payscore.operators.bayes import MULTINOMIAL, Model, add_slot_terms, class_label, score_theta, start_scores
 from payscore.shared import Stored, store
 
 
@@ -53,12 +53,11 @@ def build_ensemble(model: Model, order: Sequence[str], weights: Sequence[float]
     if missing:
         raise ValueError(f"no model for {', '.join(missing)}")
     zeros = F.array_repeat(F.lit(0.0), model.width)
-    value = score_theta(F.col("theta"), model.kind)
-    rows = model.levels.df.select("model_id", "slot", "code", value.alias("_theta"))
+    rows = model.levels.df.withColumn("theta", score_theta(F.col("theta"), model.kind))
     parts = [
-        F.coalesce(F.any_value(F.when(F.col("model_id") == m, F.col("_theta")), F.lit(True)), zeros) for m in order
+        F.coalesce(F.any_value(F.when(F.col("model_id") == m, F.col("theta")), F.lit(True)), zeros) for m in order
     ]
-    levels = rows.groupBy("slot", "code").agg(F.concat(*parts).alias("_theta"))
+    levels = rows.groupBy("slot", "code").agg(F.concat(*parts).alias("theta"))
     return Ensemble(model, order, use, store(levels, 128 + 8 * model.width * len(order)))
 
 
@@ -91,10 +90,8 @@ def ensemble_score(
     if prob == "mean" and t != 1:
         raise ValueError("the weighted mean is for one-round models")
     slots = list(slots or model.slots)
-    table = Stored(
-        ensemble.levels.df.select("slot", "code", "_theta"), ensemble.levels.rows, ensemble.levels.row_bytes
-    )
-    df, names = add_slot_terms(df, table, slots, codes, {}, "_theta")
+    # The score terms were worked out when the ensemble was built.
+    df, names = add_slot_terms(df, ensemble.levels, slots, codes, MULTINOMIAL)
     start = constant([x for p in params for x in start_scores(p)])
     df = df.withColumn("_joint", sum_arrays(start, [F.col(x) for x in names], n * t * c)).drop(*names)
     # Per month, per round, per class.

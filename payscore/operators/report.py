@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payscore.shared import Stored, lookup, store
+from payscore.shared import Stored, lookup, lookup_each, store
 
 # The columns of the display table.
 DISPLAY_COLUMNS = """
@@ -51,15 +51,16 @@ def decode_features(
         F.min_by(text, F.col("feature_id").cast("long")).alias("_t")
     )
     table = store(first)
-    parts = [f"_text_{i}" for i in range(n)]
+    parts, dims = [f"_text_{i}" for i in range(n)], []
     for i, name in enumerate(parts):
-        df = df.withColumn("_code", F.get(codes, F.lit(i)))
-        known = Stored(table.df.withColumnRenamed("_t", name), table.rows, table.row_bytes)
-        df = lookup(df, known, {"_code": "_c"})
-        shown = F.concat(F.lit(" ;"), F.coalesce(F.col(name), F.lit("")))
-        df = df.withColumn(name, F.when(F.col("_code").isNotNull(), shown)).drop("_code")
-    desc = F.concat_ws("", *[F.col(p) for p in parts]) if parts else F.lit("")
-    return df.withColumn(out, F.when(F.col(column).isNotNull(), desc)).drop(*parts)
+        known = table.df.select(F.col("_c").alias(f"_c_{i}"), F.col("_t").alias(name))
+        dims.append((Stored(known, table.rows, table.row_bytes), [(F.get(codes, F.lit(i)), f"_c_{i}")]))
+    df = lookup_each(df, dims)
+    shown = [
+        F.when(F.get(codes, F.lit(i)).isNotNull(), F.concat(F.lit(" ;"), F.coalesce(F.col(p), F.lit(""))))
+        for i, p in enumerate(parts)
+    ]
+    return df.withColumn(out, F.when(F.col(column).isNotNull(), F.concat_ws("", *shown))).drop(*parts)
 
 
 def display_columns(df: DataFrame, columns: Sequence[str] = DISPLAY_COLUMNS) -> DataFrame:

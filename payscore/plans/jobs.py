@@ -16,7 +16,7 @@ from payscore.operators.catalog import build_catalog, extend_catalog
 from payscore.operators.cluster import assign_clusters, assign_nearest, fit_clusters
 from payscore.operators.dedup import dedup_month, dedup_year
 from payscore.operators.derive import derive_customers
-from payscore.operators.encode import build_dictionary, code_array, index_slots, portrait
+from payscore.operators.encode import build_dictionary, code_array, index_slots, portrait, slot_entries
 from payscore.operators.ensemble import Ensemble, build_ensemble, ensemble_score, month_weights
 from payscore.operators.evaluate import evaluate, split_by_key
 from payscore.operators.frequency import attach_frequency
@@ -103,7 +103,7 @@ def train_month(
     customers: DataFrame,
     codes: Stored,
     features: Sequence[Feature],
-    rounds: int = 5,
+    n_rounds: int = 5,
     label_mode: int = 0,
     smoothing: float = 1.0,
 ) -> Outcome:
@@ -113,7 +113,7 @@ def train_month(
     rows = store(split_by_key(dedup_month(_coded(customers, codes, use, label_mode)), *KEY)).df
     index = index_slots(rows, slots)
     train = rows.where(F.col("part") == "train")
-    model = fit_boost(train, slots, rounds, smoothing=smoothing, dictionary=index.df)
+    model = fit_boost(train, slots, n_rounds, smoothing=smoothing, dictionary=index.df)
     scored = boost_score(rows, model)
     results, metrics = _finish(
         scored, [*customers.columns, "features"], F.col("confidence"), F.col("part") == "test"
@@ -126,15 +126,18 @@ def month_models(
     codes: Stored,
     features: Sequence[Feature],
     month: str = "acc_cust_month",
-    rounds: int = 5,
+    n_rounds: int = 5,
     label_mode: int = 0,
     smoothing: float = 1.0,
 ) -> Model:
-    """One model per month, all trained in the same passes over the data."""
+    """As :func:`train_month` for every month, all models in the same passes over the data."""
     use = model_features(features, "month")
+    slots = [f.pcode for f in use]
     keys = (month, "trans_stat", "bankacc_id_type", "bankacc_id_no")
-    rows = dedup_month(_coded(customers, codes, use, label_mode), keys)
-    return fit_boost(rows, [f.pcode for f in use], rounds, smoothing=smoothing, by=month)
+    rows = store(split_by_key(dedup_month(_coded(customers, codes, use, label_mode), keys), *KEY)).df
+    known = rows.select(F.col(month).alias("model_id"), F.inline(slot_entries(slots))).where(F.col("code").isNotNull())
+    train = rows.where(F.col("part") == "train")
+    return fit_boost(train, slots, n_rounds, smoothing=smoothing, dictionary=store(known.distinct()).df, by=month)
 
 
 def score_month(

@@ -67,15 +67,14 @@ def key_hash(*cols: Column) -> Column:
     return F.xxhash64(*cols)
 
 
-def hot_hashes(df: DataFrame, keys: Sequence[str]) -> list[int]:
+def hot_hashes(df: DataFrame, keys: Sequence[Column]) -> list[int]:
     """Hashes of the keys that hold a large share of ``df``, at most HOT_SHARE of them.
 
     Uses a mergeable sketch, so the scan needs no shuffle by key. The list only steers
     where rows are sent: a missed or surplus key changes the balance, never the result.
     """
-    h = key_hash(*[F.col(k) for k in keys])
     top = F.call_function("approx_top_k", F.col("h"), F.lit(HOT_SHARE), F.lit(10 * HOT_SHARE))
-    found = df.select(h.alias("h")).agg(top.alias("top"), F.count(F.lit(1)).alias("n"))
+    found = df.select(key_hash(*keys).alias("h")).agg(top.alias("top"), F.count(F.lit(1)).alias("n"))
     row = found.first()
     floor = max(row["n"] / HOT_SHARE, 1)
     return [item["item"] for item in row["top"] or [] if item["count"] > floor]
@@ -92,6 +91,29 @@ def spread(cols: Sequence[str]) -> Column:
     return F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in cols]), F.lit(SALTS)).cast("int")
 
 
+def _join(
+    fact: DataFrame, dim: Stored, on: Sequence[tuple[Column, str]], how: str, hot: Sequence[int] | None
+) -> DataFrame:
+    keys, names = [k for k, _ in on], [n for _, n in on]
+    cond = [k == F.col(n) for k, n in on]
+    if dim.broadcastable:
+        return fact.join(F.broadcast(dim.df), cond, how)
+
+    if hot is None:
+        hot = hot_hashes(fact, keys)
+    no_key = F.lit(False)
+    for key in keys:
+        no_key = no_key | key.isNull()
+    is_hot = key_hash(*keys).isin(list(hot)) if hot else F.lit(False)
+    salted = fact.withColumn("_salt", F.when(is_hot | no_key, spread(fact.columns)).otherwise(F.lit(0)))
+
+    dim_hot = key_hash(*[F.col(n) for n in names]).isin(list(hot)) if hot else F.lit(False)
+    copies = F.when(dim_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    table = dim.df.withColumn("_copy", F.explode(copies))
+    cond.append(F.col("_salt") == F.col("_copy"))
+    return salted.join(table, cond, how).drop("_salt", "_copy")
+
+
 def lookup(
     fact: DataFrame,
     dim: Stored,
@@ -106,25 +128,20 @@ def lookup(
     salt, so no task gets a hot key whole, and rows with a null key are spread the same way.
     """
     names = {d: f"_on_{i}" for i, d in enumerate(on.values())}
-    table = dim.df.withColumnsRenamed(names)
-    cond = [F.col(f) == F.col(names[d]) for f, d in on.items()]
-    if dim.broadcastable:
-        return fact.join(F.broadcast(table), cond, how).drop(*names.values())
+    table = Stored(dim.df.withColumnsRenamed(names), dim.rows, dim.row_bytes)
+    return _join(fact, table, [(F.col(f), names[d]) for f, d in on.items()], how, hot).drop(*names.values())
 
-    if hot is None:
-        hot = hot_hashes(fact, list(on))
-    keys = [F.col(f) for f in on]
-    no_key = F.lit(False)
-    for key in keys:
-        no_key = no_key | key.isNull()
-    is_hot = key_hash(*keys).isin(list(hot)) if hot else F.lit(False)
-    salted = fact.withColumn("_salt", F.when(is_hot | no_key, spread(fact.columns)).otherwise(F.lit(0)))
 
-    dim_hot = key_hash(*[F.col(n) for n in names.values()]).isin(list(hot)) if hot else F.lit(False)
-    copies = F.when(dim_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    table = table.withColumn("_copy", F.explode(copies))
-    cond.append(F.col("_salt") == F.col("_copy"))
-    return salted.join(table, cond, how).drop(*names.values(), "_salt", "_copy")
+def lookup_each(
+    fact: DataFrame, dims: Sequence[tuple[Stored, Sequence[tuple[Column, str]]]]
+) -> DataFrame:
+    """One left :func:`lookup` after the other, on expressions of ``fact``.
+
+    All key columns of the dims must have names of their own; they are dropped at the end.
+    """
+    for dim, on in dims:
+        fact = _join(fact, dim, on, "left", None)
+    return fact.drop(*[name for _, on in dims for _, name in on])
 
 
 #: Up to this many rows one task may number a group; larger tables are numbered by ranges.
