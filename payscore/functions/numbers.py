@@ -97,7 +97,7 @@ def sum_arrays(base: Column, terms: Sequence[Column], size: int) -> Column:
             return out
 
         return F.array(*[element(i) for i in range(size)])
-    out = base
+    out, zeros = base, F.array_repeat(F.lit(0.0), size)
     for term in terms:
-        out = F.when(term.isNull(), out).otherwise(F.zip_with(out, term, lambda a, b: a + b))
+        out = F.zip_with(out, F.coalesce(term, zeros), lambda a, b: a + b)
     return out

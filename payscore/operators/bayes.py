@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from payscore.functions import argmax, constant, softmax, sum_arrays
 from payscore.operators.encode import slot_entries
-from payscore.shared import Stored, lookup, lookup_each, store
+from payscore.shared import Stored, local_table, lookup, lookup_each, split_by, store
 
 MULTINOMIAL = "multinomial"
 BERNOULLI = "bernoulli"
@@ -154,10 +154,6 @@ def make_profiles(
     )
 
 
-def local_table(spark: SparkSession, rows: Sequence[tuple], schema: str, row_bytes: int = 4096) -> Stored:
-    return Stored(spark.createDataFrame(list(rows), schema), len(rows), row_bytes)
-
-
 def group_sums(profiles: DataFrame, slots: Sequence[str], weight: Column, keys: Sequence[str] = ()) -> Stored:
     """Weight per (model, slot, code, label, keys): what one pass over the data gives."""
     pairs = profiles.select("model_id", "label", "cnt", *keys, weight.alias("_w"), F.inline(slot_entries(slots, head=True)))
@@ -259,9 +255,13 @@ def log_theta(model: Model, levels: DataFrame, totals: Mapping[str, Totals]) ->
         else:
             rest.append((m, [x + model.sizes.get(m, 0) * model.smoothing for x in t.terms]))
     rest = [(m, [math.log(x) if x > 0 else math.inf for x in xs]) for m, xs in rest]
-    table = local_table(levels.sparkSession, rest, "_m string, _rest array<double>")
+    if len(rest) == 1:
+        levels = levels.withColumn("_rest", constant(rest[0][1]))
+    else:
+        table = local_table(levels.sparkSession, rest, "_m string, _rest array<double>")
+        levels = lookup(levels, table, {"model_id": "_m"})
     t = [ln(F.get("s", F.lit(c)) + model.smoothing) - F.get("_rest", F.lit(c)) for c in range(model.classes)]
-    return lookup(levels, table, {"model_id": "_m"}).withColumn("t", F.array(*t)).drop("_rest")
+    return levels.withColumn("t", F.array(*t)).drop("_rest")
 
 
 def absent_sums(levels: DataFrame, classes: int) -> dict[str, list[float]]:
@@ -353,14 +353,13 @@ def add_slot_terms(
 ) -> tuple[DataFrame, list[str]]:
     """Look up every slot's code and add its array of score terms, null for an unknown code."""
     terms, dims = [f"_term_{i}" for i in range(len(slots))], []
-    for i, s in enumerate(slots):
+    for i, part in enumerate(split_by(levels, "slot", slots)):
         chosen = [F.col("code").alias(f"_c_{i}"), score_theta(F.col("theta"), kind).alias(terms[i])]
         on = [(F.get(F.col(codes), F.lit(i)), f"_c_{i}")]
         if by is not None:
             chosen.append(F.col("model_id").alias(f"_m_{i}"))
             on.append((by, f"_m_{i}"))
-        part = levels.df.where(F.col("slot") == s).select(*chosen)
-        dims.append((Stored(part, levels.rows, levels.row_bytes), on))
+        dims.append((part.select(*chosen), on))
     return lookup_each(df, dims), terms
 
 

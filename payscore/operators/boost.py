@@ -19,11 +19,10 @@ from payscore.operators.bayes import (
     first_round,
     group_sums,
     level_weights,
-    local_table,
     log_joint,
     make_profiles,
 )
-from payscore.shared import Stored, lookup
+from payscore.shared import Stored, local_table, lookup
 
 #: Errors are kept this far from 0 and 1, where the step would be infinite.
 ERROR_MARGIN = 1e-10
@@ -51,17 +50,30 @@ def _weighted(profiles: Stored, model: Model, scales: dict[str, list[float]]) ->
     nothing is carried from round to round but the model itself.
     """
     labels = constant(model.labels)
-    df = log_joint(profiles.df, model, by="model_id")
+    df = log_joint(profiles.df, model, by=None if len(model.params) == 1 else "model_id")
     winners = round_winners(F.col("log_joint"), model)
-    df = df.withColumn("_wrong", F.transform(winners, lambda w: F.get(labels, w) != F.col("label")))
+    wrong = F.transform(winners, lambda w: F.get(labels, w) != F.col("label"))
     rows = [(m, [math.exp(a) for a in p.alpha], math.prod(scales[m], start=1.0)) for m, p in model.params.items()]
-    steps = local_table(df.sparkSession, rows, "_m string, _grow array<double>, _scale double", 256)
-    df = lookup(df, steps, {"model_id": "_m"})
+    df = add_constants(df, rows, "_m string, _grow array<double>, _scale double")
     # The last round has no step yet and is left out.
     grown = F.zip_with("_wrong", "_grow", lambda wrong, grow: F.when(wrong & grow.isNotNull(), grow).otherwise(1.0))
     now = F.col("w") * F.col("_scale") * F.aggregate(grown, F.lit(1.0), lambda acc, x: acc * x)
     last = F.element_at("_wrong", -1).cast("int")
-    return df.select("model_id", "label", "codes", "cnt", last.alias("wrong"), now.alias("_now"))
+    return df.withColumn("_wrong", wrong).select(
+        "model_id", "label", "codes", "cnt", last.alias("wrong"), now.alias("_now")
+    )
+
+
+def add_constants(df: DataFrame, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """Add the numbers of each row's model: literals for one model, else a lookup by model id."""
+    if len(rows) > 1:
+        return lookup(df, local_table(df.sparkSession, rows, schema, 256), {"model_id": "_m"})
+    names = [field.split()[0] for field in schema.split(", ")]
+    values = {
+        n: constant(v).cast("array<double>") if isinstance(v, list) else F.lit(v)
+        for n, v in zip(names[1:], rows[0][1:])
+    }
+    return df.withColumns(values)
 
 
 def fit_boost(
@@ -114,9 +126,9 @@ def fit_boost(
             for what in ("weight", "terms"):
                 setattr(totals[m], what, [x * keep + y * grow for x, y in zip(pick(what, 0), pick(what, 1))])
         if not last:
-            factors = local_table(df.sparkSession, change, "_m string, _keep double, _grow double", 64)
+            factors = add_constants(sums.df, change, "_m string, _keep double, _grow double")
             w = F.col("w") * F.when(F.col("wrong") == 1, F.col("_grow")).otherwise(F.col("_keep"))
-            levels = level_weights(lookup(sums.df, factors, {"model_id": "_m"}), model.labels, w, known)
+            levels = level_weights(factors, model.labels, w, known)
             add_round(model, levels, totals, True, None, model.levels)
     return model
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payscore.functions import category_value
-from payscore.shared import Stored, lookup_each, numbered, store
+from payscore.shared import Stored, lookup_each, numbered, split_by, store
 from payscore.sources.config import Feature
 
 SEPARATOR = "_"
@@ -20,11 +20,10 @@ def portrait(df: DataFrame, catalog: Stored, features: Sequence[Feature], out: s
     One lookup per feature, with no regrouping of rows; a value without a code adds nothing.
     """
     names, dims = [f"_code_{i}" for i in range(len(features))], []
-    for i, f in enumerate(features):
-        codes = catalog.df.where(F.col("feature_pcode") == f.pcode)
-        codes = codes.select(F.col("feature_value").alias(f"_v_{i}"), F.col("feature_code").alias(names[i]))
-        on = [(category_value(F.col(f.col_name)), f"_v_{i}")]
-        dims.append((Stored(codes, catalog.rows, catalog.row_bytes), on))
+    parts = split_by(catalog, "feature_pcode", [f.pcode for f in features])
+    for i, (f, part) in enumerate(zip(features, parts)):
+        codes = part.select(F.col("feature_value").alias(f"_v_{i}"), F.col("feature_code").alias(names[i]))
+        dims.append((codes, [(category_value(F.col(f.col_name)), f"_v_{i}")]))
     df = lookup_each(df, dims)
     return df.withColumn(out, F.array_join(F.array_sort(F.array(*names)), SEPARATOR)).drop(*names)
 
@@ -114,9 +113,9 @@ def encode(
     unknown code sets no position.
     """
     names, dims = [f"_pos_{i}" for i in range(len(slots))], []
-    for i, s in enumerate(slots):
-        table = index.df.where(F.col("slot") == s).select(F.col("code").alias(f"_c_{i}"), F.col("pos").alias(names[i]))
-        dims.append((Stored(table, index.rows, index.row_bytes), [(F.get(F.col(codes), F.lit(i)), f"_c_{i}")]))
+    for i, part in enumerate(split_by(index, "slot", slots)):
+        table = part.select(F.col("code").alias(f"_c_{i}"), F.col("pos").alias(names[i]))
+        dims.append((table, [(F.get(F.col(codes), F.lit(i)), f"_c_{i}")]))
     df = lookup_each(df, dims)
     return df.withColumn(out, F.array_compact(F.array(*names))).drop(*names)
 

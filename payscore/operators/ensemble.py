@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from payscore.functions import argmax, chunks, confidence, constant, let, softmax, sum_arrays, total, votes
 from payscore.operators.bayes import MULTINOMIAL, Model, add_slot_terms, class_label, score_theta, start_scores
-from payscore.shared import Stored, store
+from payscore.shared import Stored, lookup_each, store
 
 
 def month_weights(n: int, current_month: int) -> list[float]:
@@ -76,7 +76,10 @@ def ensemble_score(
     prob: str | None = "blend",
 ) -> DataFrame:
     """Add ``raw`` (votes of the months), ``probability`` (softmax of the votes), ``prediction``
-    and, with ``prob``, the blended class probabilities as ``prob``.
+    and, with ``prob``, the blended class probabilities as ``prob`` and ``confidence``.
+
+    Scoring by many models costs far more than finding equal rows, so each distinct list of codes
+    is scored once and looked up, as long as the distinct lists are few enough to broadcast.
 
     ``vote`` says how a month decides: ``joint`` takes the class with the largest sum of log
     joint scores over its rounds (steps add the same to every class, so they do not matter),
@@ -84,6 +87,17 @@ def ensemble_score(
     softmax of their steps, takes softmax again, and weighs the months by softmax of their
     weights; ``prob="mean"`` sums the posteriors of one-round models times the month weights.
     """
+    key = F.coalesce(F.col(codes), F.array().cast("array<string>"))
+    distinct = store(df.select(key.alias("_codes")).distinct(), 512)
+    if not distinct.broadcastable:
+        return _score(df, ensemble, codes, slots, vote, prob)
+    scored = _score(distinct.df, ensemble, "_codes", slots, vote, prob)
+    return lookup_each(df, [(store(scored, 512), [(key, "_codes")])])
+
+
+def _score(
+    df: DataFrame, ensemble: Ensemble, codes: str, slots: Sequence[str] | None, vote: str, prob: str | None
+) -> DataFrame:
     model = ensemble.model
     t, c, n = model.rounds, model.classes, len(ensemble.order)
     params = [model.params[m] for m in ensemble.order]

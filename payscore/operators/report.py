@@ -53,8 +53,8 @@ def decode_features(
     table = store(first)
     parts, dims = [f"_text_{i}" for i in range(n)], []
     for i, name in enumerate(parts):
-        known = table.df.select(F.col("_c").alias(f"_c_{i}"), F.col("_t").alias(name))
-        dims.append((Stored(known, table.rows, table.row_bytes), [(F.get(codes, F.lit(i)), f"_c_{i}")]))
+        known = table.select(F.col("_c").alias(f"_c_{i}"), F.col("_t").alias(name))
+        dims.append((known, [(F.get(codes, F.lit(i)), f"_c_{i}")]))
     df = lookup_each(df, dims)
     shown = [
         F.when(F.get(codes, F.lit(i)).isNotNull(), F.concat(F.lit(" ;"), F.coalesce(F.col(p), F.lit(""))))

@@ -181,8 +181,7 @@ def _year(
 ) -> Outcome:
     use = model_features(features, "year")
     slots = [f.pcode for f in use]
-    rows = split_by_key(dedup_year(_coded(customers, codes, use, label_mode)), *KEY)
-    rows = store(rows).df if test_only else rows
+    rows = store(split_by_key(dedup_year(_coded(customers, codes, use, label_mode)), *KEY)).df
     here = F.col("part") == "test" if test_only else F.lit(True)
     dictionary = build_dictionary(index_slots(rows, slots)) if test_only else None
     scored = ensemble_score(rows, ensemble, slots=slots)

@@ -10,8 +10,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +36,34 @@ class Stored:
     def broadcastable(self) -> bool:
         return self.rows * self.row_bytes <= BROADCAST_BYTES
 
+    def select(self, *columns: str | Column) -> Stored:
+        return replace(self, df=self.df.select(*columns))
+
+
+# Column types of small tables made here.
+_ARROW = {"string": pa.string(), "int": pa.int32(), "double": pa.float64(), "array<double>": pa.list_(pa.float64())}
+
+
+def local_table(spark: SparkSession, rows: Sequence[tuple], schema: str, row_bytes: int = 4096) -> Stored:
+    """A table of a few rows that live in the plan itself."""
+    fields = [f.split() for f in schema.split(", ")]
+    columns = [pa.array([r[i] for r in rows], _ARROW[kind]) for i, (_, kind) in enumerate(fields)]
+    table = pa.table(columns, names=[name for name, _ in fields])
+    return Stored(spark.createDataFrame(table), len(rows), row_bytes)
+
+
+def split_by(table: Stored, column: str, values: Sequence[str]) -> list[Stored]:
+    """The parts of ``table`` with each value of ``column``.
+
+    A part of a small table is small; only for a larger one the parts are counted.
+    """
+    parts = [table.df.where(F.col(column) == v) for v in values]
+    if table.broadcastable:
+        return [Stored(p, table.rows, table.row_bytes) for p in parts]
+    counts = table.df.where(F.col(column).isin(list(values))).groupBy(column).count().collect()
+    rows = {r[0]: r[1] for r in counts}
+    return [Stored(p, rows.get(v, 0), table.row_bytes) for p, v in zip(parts, values)]
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables: the cluster's checkpoint folder.
@@ -128,7 +157,7 @@ def lookup(
     salt, so no task gets a hot key whole, and rows with a null key are spread the same way.
     """
     names = {d: f"_on_{i}" for i, d in enumerate(on.values())}
-    table = Stored(dim.df.withColumnsRenamed(names), dim.rows, dim.row_bytes)
+    table = replace(dim, df=dim.df.withColumnsRenamed(names))
     return _join(fact, table, [(F.col(f), names[d]) for f, d in on.items()], how, hot).drop(*names.values())
 
 
