@@ -89,13 +89,6 @@ def check_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def require_features(df: DataFrame, columns: Sequence[str], kind: str) -> None:
-    """Fail when a numeric feature does not suit the kind of model."""
-    bad = [r["feature"] for r in check_features(df, columns).where(~F.col(f"{kind}_ok")).collect()]
-    if bad:
-        raise ValueError(f"{kind} Naive Bayes cannot use the values of {', '.join(bad)}")
-
-
 def label_counts(df: DataFrame, label: str = "label") -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("cnt"))
 
@@ -232,18 +225,20 @@ def ln(x: Column) -> Column:
     return F.when(x > 0, F.log(x)).otherwise(F.lit(-math.inf))
 
 
-def log_prior(model: Model, totals: Totals, balanced: bool, weights: Mapping[float, float] | None) -> list[float]:
+def log_prior(
+    labels: Sequence[float], smoothing: float, totals: Totals, balanced: bool, weights: Mapping[float, float] | None
+) -> list[float]:
     """``ln(n_c + λ) − ln(Σn + Cλ)``, plus the log of the class weight from unweighted counts."""
-    if weights and set(model.labels) - set(weights):
+    if weights and set(labels) - set(weights):
         raise ValueError("a class has no weight")
 
     def log(x: float) -> float:
         return math.log(x) if x > 0 else -math.inf
 
-    present = {c: k for c, k in zip(model.labels, totals.rows) if k > 0}
+    present = {c: k for c, k in zip(labels, totals.rows) if k > 0}
     extra = weights or (balance(present) if balanced else {})
-    rest = math.log(sum(totals.weight) + model.classes * model.smoothing)
-    return [log(x + model.smoothing) - rest + log(extra.get(c, 1.0)) for c, x in zip(model.labels, totals.weight)]
+    rest = math.log(sum(totals.weight) + len(labels) * smoothing)
+    return [log(x + smoothing) - rest + log(extra.get(c, 1.0)) for c, x in zip(labels, totals.weight)]
 
 
 def log_theta(model: Model, levels: DataFrame, totals: Mapping[str, Totals]) -> DataFrame:
@@ -332,7 +327,7 @@ def add_round(
     absent = absent_sums(stored.df, model.classes) if model.kind == BERNOULLI else {}
     model.levels = Stored(stored.df.drop("t"), stored.rows, row_bytes)
     for m, t in totals.items():
-        model.params[m].log_prior.append(log_prior(model, t, balanced, weights))
+        model.params[m].log_prior.append(log_prior(model.labels, model.smoothing, t, balanced, weights))
         model.params[m].absent.append(absent.get(m, [0.0] * model.classes))
 
 
@@ -460,3 +455,75 @@ def round_table(spark: SparkSession, model: Model) -> DataFrame:
         rows,
         "model_id string, round int, alpha double, error double, kind string, smoothing double, slots array<string>",
     )
+
+
+@dataclass
+class ValueModel:
+    """A model of numeric feature columns; ``log_theta`` is per class, per column."""
+
+    labels: list[float]
+    columns: list[str]
+    log_prior: list[float]
+    log_theta: list[list[float]]
+    kind: str
+
+
+def fit_nb_values(
+    df: DataFrame,
+    columns: Sequence[str],
+    label: str = "label",
+    weight: str | None = None,
+    kind: str = MULTINOMIAL,
+    smoothing: float = 1.0,
+    balanced: bool = True,
+    weights: Mapping[float, float] | None = None,
+) -> ValueModel:
+    """As :func:`fit_nb` for numeric columns: amounts, at least 0, or 0/1 for Bernoulli.
+
+    One aggregate gives the sums and also checks every value; a bad one fails the fit.
+    """
+    check_arguments(kind, smoothing)
+    w = F.col(weight) if weight else F.lit(1.0)
+    fine = [
+        F.coalesce(F.col(c) >= 0 if kind == MULTINOMIAL else F.col(c).isin(0, 1), F.lit(False)) for c in columns
+    ]
+    rows = (
+        df.groupBy(F.col(label).cast("double").alias("label"))
+        .agg(
+            F.count(F.lit(1)).cast("double").alias("cnt"),
+            F.sum(w).cast("double").alias("n"),
+            F.array(*[F.sum(F.col(c).cast("double") * w) for c in columns]).alias("s"),
+            F.array(*[F.bool_and(x) for x in fine]).alias("ok"),
+        )
+        .limit(MAX_CLASSES + 1)
+        .collect()
+    )
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
+    bad = [c for i, c in enumerate(columns) if not all(r["ok"][i] for r in rows)]
+    if bad:
+        raise ValueError(f"{kind} Naive Bayes cannot use the values of {', '.join(bad)}")
+    rows.sort(key=lambda r: r["label"])
+    totals = Totals([r["cnt"] for r in rows], [r["n"] for r in rows], [sum(r["s"]) for r in rows])
+    labels = [r["label"] for r in rows]
+    theta = []
+    for r, terms in zip(rows, totals.terms):
+        below = r["n"] + 2 * smoothing if kind == BERNOULLI else terms + len(columns) * smoothing
+        theta.append([math.log(x + smoothing) - math.log(below) if x + smoothing > 0 else -math.inf for x in r["s"]])
+    prior = log_prior(labels, smoothing, totals, balanced, weights)
+    return ValueModel(labels, list(columns), prior, theta, kind)
+
+
+def nb_score_values(df: DataFrame, model: ValueModel) -> DataFrame:
+    """Add ``raw``, ``probability`` and ``prediction`` from numeric columns; a projection."""
+    scores = []
+    for prior, theta in zip(model.log_prior, model.log_theta):
+        absent = [math.log(1 - math.exp(t)) if t < 0 else -math.inf for t in theta]
+        start, steps = prior, theta
+        if model.kind == BERNOULLI:
+            start, steps = prior + sum(absent), [t - a for t, a in zip(theta, absent)]
+        # A feature that is 0 adds nothing, also where its log probability is infinite.
+        terms = [F.when(F.col(c) != 0, F.col(c) * F.lit(t)).otherwise(0.0) for c, t in zip(model.columns, steps)]
+        scores.append(sum(terms, F.lit(start)))
+    df = df.withColumn("raw", F.array(*scores)).withColumn("probability", softmax(F.col("raw")))
+    return df.withColumn("prediction", class_label(model.labels, argmax(F.col("raw"))))

@@ -57,8 +57,8 @@ def index_slots(df: DataFrame, slots: Sequence[str], codes: str = "codes") -> St
     """
     pairs = df.select(F.inline(slot_entries(slots, codes))).where(F.col("code").isNotNull())
     counted = pairs.groupBy("slot", "code").agg(F.count(F.lit(1)).alias("cnt"))
-    ranked = store(numbered(store(counted), "slot", [F.desc("cnt"), F.asc("code")], "rn")).df
-    widths = {r["slot"]: r["count"] for r in ranked.groupBy("slot").count().collect()}
+    levels = store(counted)
+    widths = {r["slot"]: r["count"] for r in levels.df.groupBy("slot").count().collect()}
     before, start = {}, 0
     for s in slots:
         before[s] = start
@@ -68,6 +68,7 @@ def index_slots(df: DataFrame, slots: Sequence[str], codes: str = "codes") -> St
         return F.coalesce(*[F.when(F.col("slot") == s, F.lit(numbers.get(s, 0))) for s in slots])
 
     idx = F.col("rn") - 1
+    ranked = numbered(levels, "slot", [F.desc("cnt"), F.asc("code")], "rn")
     return store(
         ranked.select(
             "slot", "code", "cnt", idx.cast("int").alias("idx"),

@@ -83,7 +83,9 @@ class Outcome:
 
 def _coded(customers: DataFrame, codes: Stored, features: Sequence[Feature], label_mode: int) -> DataFrame:
     df = portrait(customers, codes, features)
-    return df.withColumns(
+    # A group without a code is a row of nulls, which has no portrait.
+    known = F.when(F.col("mios_trans_code").isNotNull(), F.col("features"))
+    return df.withColumn("features", known).withColumns(
         {"codes": code_array(F.col("features")), "label": label_column(F.col("trans_stat"), label_mode)}
     )
 
@@ -110,7 +112,7 @@ def train_month(
     """Train a month model on 80 % of the deduplicated rows, predict and evaluate the others."""
     use = model_features(features, "month")
     slots = [f.pcode for f in use]
-    rows = store(split_by_key(dedup_month(_coded(customers, codes, use, label_mode)), *KEY)).df
+    rows = store(split_by_key(_coded(dedup_month(customers), codes, use, label_mode), *KEY)).df
     index = index_slots(rows, slots)
     train = rows.where(F.col("part") == "train")
     model = fit_boost(train, slots, n_rounds, smoothing=smoothing, dictionary=index.df)
@@ -134,7 +136,7 @@ def month_models(
     use = model_features(features, "month")
     slots = [f.pcode for f in use]
     keys = (month, "trans_stat", "bankacc_id_type", "bankacc_id_no")
-    rows = store(split_by_key(dedup_month(_coded(customers, codes, use, label_mode), keys), *KEY)).df
+    rows = store(split_by_key(_coded(dedup_month(customers, keys), codes, use, label_mode), *KEY)).df
     known = rows.select(F.col(month).alias("model_id"), F.inline(slot_entries(slots))).where(F.col("code").isNotNull())
     train = rows.where(F.col("part") == "train")
     return fit_boost(train, slots, n_rounds, smoothing=smoothing, dictionary=store(known.distinct()).df, by=month)
@@ -181,7 +183,7 @@ def _year(
 ) -> Outcome:
     use = model_features(features, "year")
     slots = [f.pcode for f in use]
-    rows = store(split_by_key(dedup_year(_coded(customers, codes, use, label_mode)), *KEY)).df
+    rows = store(split_by_key(_coded(dedup_year(customers), codes, use, label_mode), *KEY)).df
     here = F.col("part") == "test" if test_only else F.lit(True)
     dictionary = build_dictionary(index_slots(rows, slots)) if test_only else None
     scored = ensemble_score(rows, ensemble, slots=slots)

@@ -552,6 +552,16 @@ def _statements() -> dict[str, str]:
     out["nb_score"] = sql(NB, pick("score0", "prob0"))
     out["nb_thresholds"] = sql(NB, pick("score0", "prob0", (0.35, 0.65)))
 
+    out["nb_values"] = """WITH x AS (SELECT *, CAST(l_returnflag = 'R' AS DOUBLE) AS label, l_extendedprice / 10000 AS price
+ FROM lineitem), c AS (SELECT label, CAST(count(*) AS DOUBLE) AS k, sum(l_quantity) AS a, sum(l_tax) AS b,
+ sum(price) AS d FROM x GROUP BY label),
+m AS (SELECT label, ln(k + 1) - ln(sum(k) OVER () + 2) + ln(1 - k / sum(k) OVER ()) AS p,
+ ln((a + 1) / (a + b + d + 3)) AS ta, ln((b + 1) / (a + b + d + 3)) AS tb, ln((d + 1) / (a + b + d + 3)) AS td FROM c),
+s AS (SELECT x.label, m0.p + l_quantity * m0.ta + l_tax * m0.tb + price * m0.td AS r0,
+ m1.p + l_quantity * m1.ta + l_tax * m1.tb + price * m1.td AS r1 FROM x, m m0, m m1 WHERE m0.label = 0 AND m1.label = 1)
+SELECT label, CASE WHEN r1 > r0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction, count(*) AS n_rows,
+ round(avg(r0), 6) AS raw0, round(avg(1 / (1 + exp(r0 - r1))), 6) AS p1 FROM s GROUP BY 1, 2"""
+
     def rounds_of(n: int, alpha: str = "half_log", model: str = "''") -> str:
         return sql([*BASE, TERMS, rows(model=model), *boost(n, alpha)], " UNION ALL ".join(
             f"SELECT model AS model_id, {r} AS round, round(e, 6) AS error, round(alpha, 6) AS alpha FROM step{r}"

@@ -278,6 +278,19 @@ def nb_thresholds(spark, sf):
     return _scores(bayes.nb_score(df, bayes.fit_nb(df, SLOTS), thresholds=[0.35, 0.65]))
 
 
+def nb_values(spark, sf):
+    df = spark.read.parquet(f"{sf}/lineitem.parquet").withColumns(
+        {"label": (F.col("l_returnflag") == "R").cast("double"), "price": F.col("l_extendedprice") / 10000}
+    )
+    model = bayes.fit_nb_values(df, ["l_quantity", "l_tax", "price"])
+    out = bayes.nb_score_values(df, model)
+    return out.groupBy("label", "prediction").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.round(F.avg(F.get("raw", F.lit(0))), 6).alias("raw0"),
+        F.round(F.avg(F.get("probability", F.lit(1))), 6).alias("p1"),
+    )
+
+
 # Boosting
 
 
@@ -535,6 +548,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "nb_custom_weights": nb_custom_weights,
     "nb_score": nb_score,
     "nb_thresholds": nb_thresholds,
+    "nb_values": nb_values,
     "boost_rounds": boost_rounds,
     "boost_samme": boost_samme,
     "boost_by_month": boost_by_month,

@@ -163,9 +163,32 @@ def test_check_features(spark):
     df = spark.createDataFrame([(0.0, 1.0, -1.0), (1.0, 2.5, 1.0)], "x double, y double, z double")
     got = rows(bayes.check_features(df, ["x", "y", "z"]), "feature", "multinomial_ok", "bernoulli_ok")
     assert got == [("x", True, True), ("y", True, False), ("z", False, False)]
-    bayes.require_features(df, ["x", "y"], "multinomial")
-    with pytest.raises(ValueError, match="z"):
-        bayes.require_features(df, ["x", "z"], "multinomial")
+    df = df.withColumn("label", F.col("x"))
+    assert bayes.fit_nb_values(df, ["x", "y"]).labels == [0.0, 1.0]
+    with pytest.raises(ValueError, match="of z"):
+        bayes.fit_nb_values(df, ["x", "z"])
+    with pytest.raises(ValueError, match="of y, z"):
+        bayes.fit_nb_values(df, ["x", "y", "z"], kind="bernoulli")
+
+
+@pytest.mark.parametrize("kind", ["multinomial", "bernoulli"])
+def test_numeric_nb_equals_spark_ml(spark, kind):
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.feature import VectorAssembler
+
+    high = 2 if kind == "bernoulli" else 6
+    columns = ["p", "q", "r"]
+    numbers = [f"cast(pmod(hash(id, '{c}'), {high}) as double) as {c}" for c in columns]
+    df = store(spark.range(500).selectExpr("id", "cast(id % 3 as double) label", "cast(1 + id % 2 as double) w", *numbers)).df
+    mine = bayes.fit_nb_values(df, columns, weight="w", kind=kind, balanced=False)
+    vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(df)
+    ml = NaiveBayes(weightCol="w", modelType=kind).fit(vectors)
+    np.testing.assert_allclose(mine.log_theta, ml.theta.toArray(), atol=1e-12)
+    a = bayes.nb_score_values(df, mine).orderBy("id").collect()
+    b = ml.transform(vectors).orderBy("id").collect()
+    np.testing.assert_allclose([r["raw"] for r in a], [r["rawPrediction"].toArray() for r in b], atol=1e-9)
+    np.testing.assert_allclose([r["probability"] for r in a], [r["probability"].toArray() for r in b], atol=1e-9)
+    assert [r["prediction"] for r in a] == [r["prediction"] for r in b]
 
 
 @pytest.mark.parametrize("samme", [False, True])
