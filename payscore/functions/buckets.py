@@ -35,7 +35,7 @@ def bucketize(value: Column, ranges: Sequence[Range], flag: str, strict: bool =
     if not mine:
         return F.lit(NO_RANGE)
     missing = value.isNull() | value.isin("", "null")
-    number = F.when(~missing, value.cast("double") if strict else value.try_cast("double"))
+    number = value.cast("double") if strict else value.try_cast("double")
 
     def place(pieces: list[tuple[float, str]]) -> Column:
         if len(pieces) == 1:

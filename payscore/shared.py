@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
@@ -99,14 +100,19 @@ def key_hash(*cols: Column) -> Column:
 def hot_hashes(df: DataFrame, keys: Sequence[Column]) -> list[int]:
     """Hashes of the keys that hold a large share of ``df``, at most HOT_SHARE of them.
 
-    Uses a mergeable sketch, so the scan needs no shuffle by key. The list only steers
-    where rows are sent: a missed or surplus key changes the balance, never the result.
+    The input partitions are put in SALTS groups, and the frequent keys of each group are found
+    by sketches of fixed size, so there is no shuffle by key and no task merges the sketches of
+    all others. A key frequent overall is frequent in some group. The list only steers where
+    rows are sent: a missed or surplus key changes the balance, never the result.
     """
+    some = df.select(key_hash(*keys).alias("h"), (F.spark_partition_id() % SALTS).alias("g"))
     top = F.call_function("approx_top_k", F.col("h"), F.lit(HOT_SHARE), F.lit(10 * HOT_SHARE))
-    found = df.select(key_hash(*keys).alias("h")).agg(top.alias("top"), F.count(F.lit(1)).alias("n"))
-    row = found.first()
-    floor = max(row["n"] / HOT_SHARE, 1)
-    return [item["item"] for item in row["top"] or [] if item["count"] > floor]
+    groups = some.groupBy("g").agg(top.alias("top"), F.count(F.lit(1)).alias("n")).collect()
+    counts: Counter[int] = Counter()
+    for group in groups:
+        counts.update({item["item"]: item["count"] for item in group["top"]})
+    floor = max(sum(g["n"] for g in groups) / HOT_SHARE, 1)
+    return [h for h, n in counts.most_common(HOT_SHARE) if n > floor]
 
 
 def hot_from_counts(counts: DataFrame, keys: Sequence[str], cnt: str, total: int) -> list[int]:

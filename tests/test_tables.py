@@ -166,3 +166,9 @@ def test_store_counts_rows(spark):
     kept = store(spark.range(17).where("id > 3"), 10)
     assert kept.rows == 13 == kept.df.count() and kept.broadcastable
     assert not Stored(kept.df, 1 << 40, 10).broadcastable
+
+
+def test_hot_keys_of_empty_and_uneven_tables(spark):
+    assert shared.hot_hashes(spark.range(0), [F.col("id")]) == []
+    uneven = spark.range(0, 1000, 1, 3).withColumn("k", F.col("id") % 2)
+    assert len(shared.hot_hashes(uneven, [F.col("k")])) == 2
