@@ -14,33 +14,39 @@ NO_RANGE = "0"
 NO_VALUE = "9999"
 
 
-def _segments(ranges: Sequence[Range]) -> list[tuple[float, str]]:
-    """Cut possibly overlapping ranges into (upper end, code) pieces, in ascending order."""
+def _segments(ranges: Sequence[Range]) -> tuple[list[float], list[str]]:
+    """Cut possibly overlapping ranges at all their ends; a code for each piece between two ends."""
     ends = sorted({float(x) for r in ranges for x in (r.start, r.end)})
     latest_first = sorted(ranges, key=lambda r: r.ord, reverse=True)
-    pieces = [(ends[0], NO_RANGE)] if ends else []
-    for low, high in zip(ends, ends[1:]):
-        code = next((r.code for r in latest_first if r.start <= low and high <= r.end), NO_RANGE)
-        pieces.append((high, code))
-    return pieces
+    codes = [
+        next((r.code for r in latest_first if r.start <= low and high <= r.end), NO_RANGE)
+        for low, high in zip(ends, ends[1:])
+    ]
+    return ends, codes
+
+
+#: Up to this many ends are compared one by one in generated code.
+UNROLL = 64
 
 
 def bucketize(value: Column, ranges: Sequence[Range], flag: str, strict: bool = False) -> Column:
     """Code of the range of kind ``flag`` that holds ``value`` (a text), ``start < value <= end``.
 
-    The overlaps are resolved once, here, so a row is placed with log2(ranges) comparisons and
-    no join.
+    Overlaps are resolved once, here. A row counts the ends below its value, which is the place
+    of its code; the value is parsed once, as nothing here is evaluated on a condition.
     """
     mine = [r for r in ranges if r.flag == flag]
     if not mine:
         return F.lit(NO_RANGE)
     missing = value.isNull() | value.isin("", "null")
-    number = value.cast("double") if strict else value.try_cast("double")
-
-    def place(pieces: list[tuple[float, str]]) -> Column:
-        if len(pieces) == 1:
-            return F.when(number <= pieces[0][0], F.lit(pieces[0][1])).otherwise(NO_RANGE)
-        half = len(pieces) // 2
-        return F.when(number <= pieces[half - 1][0], place(pieces[:half])).otherwise(place(pieces[half:]))
-
-    return F.when(missing, F.lit(NO_VALUE)).otherwise(place(_segments(mine)))
+    number = F.when(~missing, value).cast("double") if strict else value.try_cast("double")
+    ends, codes = _segments(mine)
+    if len(ends) <= UNROLL:
+        place = F.lit(0)
+        for end in ends:
+            place = place + (number > end).cast("int")
+    else:
+        below = F.filter(F.array(*[F.lit(e) for e in ends]), lambda end: number > end)
+        place = F.when(number.isNotNull(), F.size(below))
+    code = F.get(F.array(*[F.lit(c) for c in [NO_RANGE, *codes, NO_RANGE]]), place)
+    return F.coalesce(code, F.when(missing, F.lit(NO_VALUE)).otherwise(NO_RANGE))

@@ -9,14 +9,14 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from payscore.functions import constant, let
 from payscore.shared import lookup, store
 
 FEATURES = ("acc_cust_amntrang", "acc_cust_sex", "acc_cust_agerang", "acc_cust_dayrang")
 
 
-def _point(features: Sequence[str], strict: bool = False) -> Column:
-    cast = [F.col(c).cast("double") if strict else F.col(c).try_cast("double") for c in features]
-    return F.array(*[F.coalesce(c, F.lit(0.0)) for c in cast])
+def _point(features: Sequence[str]) -> Column:
+    return F.array(*[F.coalesce(F.col(c).try_cast("double"), F.lit(0.0)) for c in features])
 
 
 def profiles(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
@@ -59,12 +59,18 @@ def load_clusters(path: str) -> BisectingKMeansModel:
 
 
 def _distances(features: Sequence[str], centers: Sequence[Sequence[float]]) -> Column:
-    point = [F.coalesce(F.col(c).try_cast("double"), F.lit(0.0)) for c in features]
+    """Squared distance to each center.
 
-    def squared(center: Sequence[float]) -> Column:
-        return sum((((p - F.lit(float(x))) * (p - F.lit(float(x)))) for p, x in zip(point, center)), F.lit(0.0))
+    Array functions keep this small: written out, it would push the code generated for a whole
+    pipeline over the size up to which the JVM compiles it.
+    """
 
-    return F.array(*[squared(c) for c in centers])
+    def squared(point: Column, center: Column) -> Column:
+        return F.aggregate(
+            F.zip_with(point, center, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, x: acc + x
+        )
+
+    return let(_point(features), lambda p: F.transform(constant(centers), lambda c: squared(p, c)))
 
 
 def assign_nearest(
@@ -74,9 +80,8 @@ def assign_nearest(
     out: str = "acc_cust_km",
 ) -> DataFrame:
     """Add the nearest of given centers, the first one on ties; a projection."""
-    d = F.col("_distances")
-    nearest = (F.array_position(d, F.array_min(d)) - 1).cast("string")
-    return df.withColumn("_distances", _distances(features, centers)).withColumn(out, nearest).drop("_distances")
+    nearest = let(_distances(features, centers), lambda d: F.array_position(d, F.array_min(d)) - 1)
+    return df.withColumn(out, nearest.cast("string"))
 
 
 def cluster_report(
