@@ -602,6 +602,10 @@ SELECT label, CASE WHEN r1 > r0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS predict
     out["cluster_report"] = sql(BASE, f"""SELECT {NEAREST} AS cluster, count(*) AS n_rows,
  round(sum(list_min(dist)), 6) AS cost FROM (SELECT *, {DIST} FROM cust) GROUP BY 1""")
     out["display"] = sql(BASE, f"SELECT {display_columns()} FROM cust")
+    out["sinks_roundtrip"] = sql([*BASE, TERMS, rows(), *boosted(2), WINNER], """SELECT target, trans_stat, count(*) AS n_rows
+ FROM (SELECT 'parts' AS target, CASE WHEN year_id = 1997 THEN '9' ELSE trans_stat END AS trans_stat FROM tx
+ UNION ALL SELECT unnest(['whole', 'csv', 'json']), trans_stat FROM tx
+ UNION ALL SELECT 'model', CAST(CAST(label AS INT) AS VARCHAR) FROM win) GROUP BY target, trans_stat""")
     out["job_features"] = sql([*BASE, FREQ, FULL], """SELECT mios_trans_code, acc_cust_sex, acc_cust_home, acc_cust_age,
  acc_cust_agerang, acc_cust_instancetype, acc_cust_amntrang, acount_time_rang, acc_cust_month, acc_cust_day,
  acc_cust_dayrang, acc_cust_km, kk_cnt FROM full_cust""")

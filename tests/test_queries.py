@@ -48,7 +48,7 @@ def test_query(spark, duck, name):
 
 def test_every_statement_belongs_to_a_query():
     without = set(entry_points.queries()) - set(entry_points.oracle_sql())
-    assert without == {"cluster_train", "sinks_roundtrip"}
+    assert without == {"cluster_train"}
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
