@@ -8,6 +8,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
+from payscore.registry.oracle import ORACLE
+from payscore.registry.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -33,11 +35,11 @@ def by_name(names, data):
     return [names[i] for i in order], sorted((tuple(r[i] for i in order) for r in data), key=str)
 
 
-@pytest.mark.parametrize("name", [n for n in entry_points.queries() if os.environ.get("ALL_QUERIES") or n not in SLOW])
+@pytest.mark.parametrize("name", [n for n in QUERIES if os.environ.get("ALL_QUERIES") or n not in SLOW])
 def test_query(spark, duck, name):
-    df = entry_points.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     names, got = by_name(df.columns, df.collect())
-    statement = entry_points.oracle_sql().get(name)
+    statement = ORACLE.get(name)
     assert got
     if statement is None:
         return
@@ -47,8 +49,9 @@ def test_query(spark, duck, name):
 
 
 def test_every_statement_belongs_to_a_query():
-    without = set(entry_points.queries()) - set(entry_points.oracle_sql())
-    assert without == {"cluster_train"}
+    assert set(QUERIES) - set(ORACLE) == {"cluster_train"}
+    assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries())
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
