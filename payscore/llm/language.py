@@ -154,13 +154,14 @@ def score_texts(model: Model, texts: Iterator[str | None], remembered: dict) ->
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """Adds nothing but the prediction: doc_id, lang_pred, score, for each row of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.words, model.word_logs, model.grams, model.gram_logs))
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         remembered: dict = {}
+        known = Model(*shared.value)
         for batch in batches:
-            langs, shares = score_texts(shared.value, (x.as_py() for x in batch.column(1)), remembered)
+            langs, shares = score_texts(known, (x.as_py() for x in batch.column(1)), remembered)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(langs, pa.string()), pa.array(shares, pa.float64())], ["doc_id", "lang_pred", "score"]
             )
