@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payscore.llm import mixing, quality
+from payscore.llm import decontaminate, mixing, neardup, privacy, quality
 from payscore.llm.common import table
 from payscore.shared import shared_dir
 
@@ -18,12 +18,27 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return neardup.keep_one(docs)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return privacy.sanitise(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_rows(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_rules),
+    ("near duplicates", near_duplicates),
+    ("benchmark decontamination", benchmark_leaks),
+    ("personal data", personal_data),
     ("mixing sources", mix_sources),
 ]
 

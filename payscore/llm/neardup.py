@@ -7,8 +7,9 @@
    sparse region that is everything near; in a dense one the neighbours in the order are those with
    the longest common prefix, so the depth in use follows the region.
 4. First every class is compared with its best neighbour only, on the full sets, and the confirmed
-   pairs are joined to components. Then neighbours ``reach`` places around that lie in different
-   components are compared, until a round confirms nothing new.
+   pairs are joined to components. Then neighbours within a region that lie in different components
+   are compared, first the nearest ones and then all within ``reach`` places, until a round confirms
+   nothing new. So a text that is near only one of thousands of copies still meets that one.
 
 A 1-bit sketch of the signature lets candidates pass that could be similar enough; every link is
 confirmed on full sets of 64-bit shingle hashes. A pair at the threshold shares three leading values
@@ -45,7 +46,8 @@ class Forest:
     trees: int = 16
     depth: int = 6
     shallow: int = 3
-    reach: int = 16
+    near: int = 16
+    reach: int = 4096
     #: Candidates whose sketches agree in a smaller part are too far apart (0.9 is expected at 80 percent).
     least_agreement: float = 0.74
     max_rounds: int = 20
@@ -139,16 +141,20 @@ def _neighbours(rule: Forest, reach: int, batches: Iterator[pa.RecordBatch]) ->
         tree, node, root = (rows.column(c).to_numpy() for c in ("tree", "node", "root"))
         labels = np.frombuffer(b"".join(rows.column("label").to_pylist()), ">u4").reshape(n, rule.depth).astype(np.uint32)
         sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(n, -1)
+        i = np.arange(n)
         for j in range(1, min(reach, n - 1) + 1):
-            i = np.arange(max(0, old - j), n - j)
-            i = i[(tree[i] == tree[i + j]) & (root[i] != root[i + j]) & (labels[i, 0] == labels[i + j, 0])]
+            # Rows are sorted: where a region ends before the j-th place, it does so for every later one.
+            i = i[i < n - j]
+            i = i[(tree[i] == tree[i + j]) & (labels[i, : rule.shallow] == labels[i + j, : rule.shallow]).all(axis=1)]
             if not len(i):
+                break
+            k = i[(i + j >= old) & (root[i] != root[i + j])]
+            differ = np.bitwise_count(sketches[k] ^ sketches[k + j]).sum(axis=1, dtype=np.int64)
+            k = k[differ <= (1 - rule.least_agreement) * rule.values]
+            if not len(k):
                 continue
-            shared = np.cumprod(labels[i] == labels[i + j], axis=1).sum(axis=1)
-            differ = np.bitwise_count(sketches[i] ^ sketches[i + j]).sum(axis=1, dtype=np.int64)
-            good = (shared >= rule.shallow) & (differ <= (1 - rule.least_agreement) * rule.values)
-            i, shared = i[good], shared[good]
-            x, y = node[i], node[i + j]
+            shared = np.cumprod(labels[k] == labels[k + j], axis=1).sum(axis=1)
+            x, y = node[k], node[k + j]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(shared.astype(np.int32))], ["a", "b", "shared"]
             )
@@ -192,6 +198,7 @@ def linked(docs: DataFrame, rule: Forest = Forest()) -> tuple[DataFrame, DataFra
     roots, links, done = nodes.select("node", F.col("node").alias("root")), None, None
     active, texts = nodes, None
     for turn in range(rule.max_rounds):
+        reach = (1, rule.near, rule.reach)[min(turn, 2)]
         if turn == 0:
             given = active.select("node", F.col("node").alias("root"), "signature")
         else:
@@ -200,7 +207,7 @@ def linked(docs: DataFrame, rule: Forest = Forest()) -> tuple[DataFrame, DataFra
         order = store(order, 100)
         ranges = max(1, -(-order.rows // 200_000))
         sorted_ = order.df.repartitionByRange(ranges, "tree", "label", "node").sortWithinPartitions("tree", "label", "node")
-        near = sorted_.mapInArrow(lambda batches, reach=1 if turn == 0 else rule.reach: _neighbours(rule, reach, batches), "a long, b long, shared int")
+        near = sorted_.mapInArrow(lambda batches, reach=reach: _neighbours(rule, reach, batches), "a long, b long, shared int")
         if turn == 0:
             near = store(near, 20).df
             # Only classes with a neighbour can ever be linked.
@@ -213,14 +220,16 @@ def linked(docs: DataFrame, rule: Forest = Forest()) -> tuple[DataFrame, DataFra
             pairs = near.select("a", "b").distinct()
             pairs = pairs if done is None else pairs.join(done, ["a", "b"], "left_anti")
         pairs = store(pairs, 16)
-        if not pairs.rows and turn:
+        if not pairs.rows and turn > 1:
             break
         done = pairs.df if done is None else store(done.unionAll(pairs.df), 16).df
         sides = [texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab"]
         full = pairs.df.join(sides[0], "a").join(sides[1], "b").select("a", "b", "text_a", "text_b")
         new = store(full.mapInArrow(lambda batches: _confirm(rule, batches), "a long, b long"), 16)
         if not new.rows and turn:
-            break
+            if turn > 1:
+                break
+            continue
         links = new.df if links is None else links.unionAll(new.df)
         roots = store(components(links), 16).df
     both = nodes.select("node", "least").join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
