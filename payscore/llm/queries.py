@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payscore.llm import chat, decontaminate, language, mixing, neardup, privacy, quality
+from payscore.llm import chat, decontaminate, html, language, mixing, neardup, privacy, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": chat.op1_chat,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_mixing": mixing.op7_mixing,
     "op8_quality": quality.op8_quality,
     "op9_privacy": privacy.op9_privacy,
+    "op10_html": html.op10_html,
 }
 
 ORACLE: dict[str, str] = {
