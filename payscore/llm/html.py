@@ -245,7 +245,7 @@ class Sample:
     """Bounds of what the trees are fitted on."""
 
     pages: int = 400
-    nodes: int = 40_000
+    nodes: int = 60_000
     max_chars: int = 400_000
 
 
@@ -272,6 +272,11 @@ def rewritten(source: str, rng: random.Random) -> str:
         source = source.replace(where, where + extra if where in (article, "</p>") else extra + where, 1)
     if rng.random() < 0.3:
         source = re.sub(r"<(/?)nav\b", r"<\1div", source)
+    for gone in (r"<nav\b.*?</nav>", r"<footer\b.*?</footer>", r'<div class="ad">.*?</div>'):
+        if rng.random() < 0.4:
+            source = re.sub(gone, "", source, flags=re.S)
+    if rng.random() < 0.4:
+        source = source.replace("<body>", "<body><div><div>", 1)
     return source
 
 
@@ -282,13 +287,13 @@ def truth_of(source: str, seed: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """
     out = []
     rng = random.Random(seed)
-    for k in range(4):
+    for k in range(6):
         page = Page(source if k == 0 else rewritten(source, rng))
         labels = page.teaches()
         if labels is None:
             continue
         x = page.features()
-        if k == 3:
+        if k == 5:
             x = hidden(x)
         out.append((x[labels >= 0], labels[labels >= 0]))
     return out
