@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payscore.llm import chat, decontaminate, html, language, mixing, neardup, privacy, quality
+from payscore.llm import chat, decontaminate, html, language, mixing, neardup, privacy, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": chat.op1_chat,
     "op2_language": language.op2_language,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_neardup": neardup.op5_neardup,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op7_mixing": mixing.op7_mixing,
     "op8_quality": quality.op8_quality,
     "op9_privacy": privacy.op9_privacy,
