@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payscore.llm import chat, decontaminate, html, language, mixing, neardup, privacy, quality, toxicity
+from payscore.llm import chat, decontaminate, html, language, mixing, neardup, privacy, quality, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": chat.op1_chat,
     "op2_language": language.op2_language,
+    "op3_substrings": substrings.op3_substrings,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_neardup": neardup.op5_neardup,
     "op6_toxicity": toxicity.op6_toxicity,
