@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 NO_REGION = "111111"
 NO_SEX = "1"
 NO_AGE = "1"
+# Fixed value: a whole date, with or without a time of day.
+FULL_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(?:[ T][0-9]{2}:[0-9]{2}(?::[0-9]{2}(?:\.[0-9]+)?)?)?$"
 
 
 def _as_int(text: Column, strict: bool) -> Column:
@@ -43,6 +45,10 @@ def id_age(id_type: Column, id_no: Column, as_of_year: int, strict: bool = False
 
 
 def date_parts(date: Column, strict: bool = False) -> tuple[Column, Column]:
-    """Month and day of month of a ``yyyy-MM-dd`` text; null when it is no date."""
-    day = date.cast("date") if strict else date.try_cast("date")
+    """Month and day of month of a ``yyyy-MM-dd`` text, with or without a time; null when it is anything else."""
+    text = date.cast("string")
+    if strict:
+        day = F.to_date(F.when(F.rlike(text, F.lit(FULL_DATE)), F.substring(text, 1, 10)).otherwise(text), "yyyy-MM-dd")
+    else:
+        day = F.when(F.rlike(text, F.lit(FULL_DATE)), F.substring(text, 1, 10)).try_cast("date")
     return F.month(day), F.dayofmonth(day)

@@ -47,6 +47,8 @@ class Model:
     smoothing: float = 1.0
     #: Number of codes per model.
     sizes: dict[str, int] = field(default_factory=dict)
+    #: Models that were asked for and could not be fitted, as their rows have one class only.
+    refused: tuple[str, ...] = ()
 
     @property
     def classes(self) -> int:
@@ -210,14 +212,14 @@ def first_totals(sums: DataFrame) -> tuple[list[float], dict[str, Totals]]:
 def level_weights(
     sums: DataFrame, labels: Sequence[float], value: Column, dictionary: DataFrame | None
 ) -> DataFrame:
-    """Per (model, slot, code), summed weight per class; codes only the dictionary knows get zeros."""
+    """Per (model, slot, code) of the data or the dictionary, summed weight per class, zeros for codes without rows."""
     found = sums.where(F.col("slot") != "").groupBy("model_id", "slot", "code").agg(per_class(labels, value).alias("s"))
     if dictionary is None:
         return found
     zeros = F.array(*[F.lit(0.0) for _ in labels])
     ids = "model_id" if "model_id" in dictionary.columns else F.lit("").alias("model_id")
     known = dictionary.select(ids, "slot", "code")
-    return known.join(found, ["model_id", "slot", "code"], "left").withColumn("s", F.coalesce("s", zeros))
+    return known.distinct().join(found, ["model_id", "slot", "code"], "full").withColumn("s", F.coalesce("s", zeros))
 
 
 def ln(x: Column) -> Column:

@@ -41,9 +41,8 @@ def _describe(spark: SparkSession, values: DataFrame, features: Sequence[Feature
     if not texts:
         return out.withColumn("feature_desc", F.col("feature_value"))
     rows = [(p, c, d) for (p, c), d in texts.items()]
-    table = spark.createDataFrame(rows, "_pcode string, _code string, _desc string")
-    match = (F.col("feature_pcode") == F.col("_pcode")) & (F.col("feature_value") == F.col("_code"))
-    out = out.join(F.broadcast(table), match, "left").drop("_pcode", "_code")
+    table = store(spark.createDataFrame(rows, "_pcode string, _code string, _desc string"))
+    out = lookup(out, table, {"feature_pcode": "_pcode", "feature_value": "_code"})
     return out.withColumn("feature_desc", F.coalesce("_desc", "feature_value")).drop("_desc")
 
 
@@ -85,17 +84,23 @@ def _issue(
     )
 
 
-def build_catalog(df: DataFrame, features: Sequence[Feature], ranges: Sequence[Range]) -> DataFrame:
+def build_catalog(
+    df: DataFrame, features: Sequence[Feature], ranges: Sequence[Range], configured: Sequence[Feature] | None = None
+) -> DataFrame:
     """Issue ids 1..n in feature order and codes pcode+1, pcode+2, … in value order.
 
-    Fails when a feature has more values than fit before the next feature's codes; this also
-    bounds what one feature brings to the numbering.
+    Fails when a feature has more values than fit before the next one of all ``configured``
+    features (those given, if left out), so that a feature switched on later has its codes free.
     """
-    return _issue(feature_values(df, features), features, ranges, {}, 0, features)
+    return _issue(feature_values(df, features), features, ranges, {}, 0, configured or features)
 
 
 def extend_catalog(
-    saved: DataFrame, df: DataFrame, features: Sequence[Feature], ranges: Sequence[Range]
+    saved: DataFrame,
+    df: DataFrame,
+    features: Sequence[Feature],
+    ranges: Sequence[Range],
+    configured: Sequence[Feature] | None = None,
 ) -> DataFrame:
     """The saved catalog, unchanged, plus codes after its last ones for values it lacks."""
     known = store(saved.select(F.col("feature_pcode").alias("_p"), F.col("feature_value").alias("_v")))
@@ -105,4 +110,4 @@ def extend_catalog(
     ordinal = F.max(F.col("feature_code").cast("int") - F.col("feature_pcode").cast("int"))
     used = {r[0]: r[1] for r in saved.groupBy("feature_pcode").agg(ordinal).collect()}
     last_id = saved.agg(F.max(F.col("feature_id").cast("int"))).first()[0] or 0
-    return saved.select(*COLUMNS).unionByName(_issue(new, features, ranges, used, last_id, features))
+    return saved.select(*COLUMNS).unionByName(_issue(new, features, ranges, used, last_id, configured or features))

@@ -27,10 +27,9 @@ def profiles(df: DataFrame, features: Sequence[str] = FEATURES) -> DataFrame:
 def fit_clusters(
     df: DataFrame, k: int, features: Sequence[str] = FEATURES, seed: int = 42
 ) -> BisectingKMeansModel:
-    """Train on weighted profiles instead of on all rows, which has the same objective."""
-    points = profiles(df, features).select(array_to_vector(_point(features)).alias("point"), F.col("cnt").cast("double"))
-    points = store(points).df
-    return BisectingKMeans(k=k, seed=seed, featuresCol="point", weightCol="cnt").fit(points)
+    """Train on all rows. Clusters are split by their number of rows, so profiles would not do."""
+    points = store(df.select(array_to_vector(_point(features)).alias("point"))).df
+    return BisectingKMeans(k=k, seed=seed, featuresCol="point").fit(points)
 
 
 def assign_clusters(

@@ -14,10 +14,14 @@ from payscore.sources.config import Feature
 SEPARATOR = "_"
 
 
-def portrait(df: DataFrame, catalog: Stored, features: Sequence[Feature], out: str = "features") -> DataFrame:
+def portrait(
+    df: DataFrame, catalog: Stored, features: Sequence[Feature], out: str = "features", slots: str | None = None
+) -> DataFrame:
     """Add the sorted codes of the row's feature values, joined by ``_``.
 
     One lookup per feature, with no regrouping of rows; a value without a code adds nothing.
+    ``slots`` names an array to add: the code of each feature in its own place, null where the
+    value has none. Models count codes by slot, so they take this array, not the text.
     """
     names, dims = [f"_code_{i}" for i in range(len(features))], []
     parts = split_by(catalog, "feature_pcode", [f.pcode for f in features])
@@ -25,9 +29,16 @@ def portrait(df: DataFrame, catalog: Stored, features: Sequence[Feature], out: s
         codes = part.select(F.col("feature_value").alias(f"_v_{i}"), F.col("feature_code").alias(names[i]))
         dims.append((codes, [(category_value(F.col(f.col_name)), f"_v_{i}")]))
     df = lookup_each(df, dims)
+    if slots:
+        df = df.withColumn(slots, F.array(*names))
     return df.withColumn(out, F.array_join(F.array_sort(F.array(*names)), SEPARATOR)).drop(*names)
 
 
+def _fits(codes: Column, n: int) -> Column:
+    """The codes, or a failure where a row has more of them than there are slots."""
+    return F.when(F.size(codes) > n, F.raise_error(F.lit(f"a row has more than {n} codes"))).otherwise(codes)
+
+
 def code_array(features: Column) -> Column:
     return F.array_sort(F.split(features, SEPARATOR))
 
@@ -37,14 +48,19 @@ def slot_names(n: int) -> list[str]:
 
 
 def explode_slots(df: DataFrame, n: int, column: str = "features") -> DataFrame:
-    """Spread the sorted codes over columns ``feature1..n``; null where a row has fewer."""
-    codes = code_array(F.col(column))
+    """Spread the sorted codes over columns ``feature1..n``; null where a row has fewer, a failure where it has more."""
+    codes = _fits(code_array(F.col(column)), n)
     return df.withColumns({f"feature{i}": F.get(codes, F.lit(i - 1)) for i in range(1, n + 1)})
 
 
 def slot_entries(slots: Sequence[str], codes: str = "codes", head: bool = False) -> Column:
-    """The row's (slot, code) pairs as an array; ``head`` puts an empty pair first, for totals."""
-    pairs = [F.struct(F.lit(s).alias("slot"), F.get(F.col(codes), F.lit(i)).alias("code")) for i, s in enumerate(slots)]
+    """The row's (slot, code) pairs as an array; ``head`` puts an empty pair first, for totals.
+
+    Fails on a row with more codes than slots.
+    """
+    # One place that looks at the number of codes is enough.
+    array = [_fits(F.col(codes), len(slots)), *[F.col(codes)] * (len(slots) - 1)]
+    pairs = [F.struct(F.lit(s).alias("slot"), F.get(array[i], F.lit(i)).alias("code")) for i, s in enumerate(slots)]
     first = [F.struct(F.lit("").alias("slot"), F.lit("").alias("code"))] if head else []
     return F.array(*first, *pairs)
 
@@ -116,7 +132,8 @@ def encode(
     names, dims = [f"_pos_{i}" for i in range(len(slots))], []
     for i, part in enumerate(split_by(index, "slot", slots)):
         table = part.select(F.col("code").alias(f"_c_{i}"), F.col("pos").alias(names[i]))
-        dims.append((table, [(F.get(F.col(codes), F.lit(i)), f"_c_{i}")]))
+        array = F.col(codes) if i else _fits(F.col(codes), len(slots))
+        dims.append((table, [(F.get(array, F.lit(i)), f"_c_{i}")]))
     df = lookup_each(df, dims)
     return df.withColumn(out, F.array_compact(F.array(*names))).drop(*names)
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payscore.shared import Stored, lookup, lookup_each, store
+from payscore.shared import Stored, lookup, store
 
 # The columns of the display table.
 DISPLAY_COLUMNS = """
@@ -33,34 +33,26 @@ def attach_predictions(
 def decode_features(
     df: DataFrame,
     catalog: Stored,
-    n: int | None = None,
     column: str = "features",
     out: str = "features_desc",
 ) -> DataFrame:
     """Add `` ;type: text`` for every code of the row, in stored order; `` ;`` for an unknown code.
 
-    ``n`` is the largest number of codes in a row, found by a scan if not given. Each position is
-    looked up where the row is, so rows are not regrouped.
+    Each different text of codes is decoded once, whatever its number of codes, and looked up from
+    its rows, so rows are not regrouped.
     """
-    codes = F.split(F.col(column), "_")
-    if n is None:
-        n = df.agg(F.max(F.size(codes))).first()[0] or 0
     text = F.concat(F.col("feature_ptype"), F.lit(": "), F.col("feature_desc"))
     # The first row of a code counts; ids give the order.
     first = catalog.df.groupBy(F.col("feature_code").alias("_c")).agg(
         F.min_by(text, F.col("feature_id").cast("long")).alias("_t")
     )
-    table = store(first)
-    parts, dims = [f"_text_{i}" for i in range(n)], []
-    for i, name in enumerate(parts):
-        known = table.select(F.col("_c").alias(f"_c_{i}"), F.col("_t").alias(name))
-        dims.append((known, [(F.get(codes, F.lit(i)), f"_c_{i}")]))
-    df = lookup_each(df, dims)
-    shown = [
-        F.when(F.get(codes, F.lit(i)).isNotNull(), F.concat(F.lit(" ;"), F.coalesce(F.col(p), F.lit(""))))
-        for i, p in enumerate(parts)
-    ]
-    return df.withColumn(out, F.when(F.col(column).isNotNull(), F.concat_ws("", *shown))).drop(*parts)
+    different = df.select(F.col(column).alias("_f")).where(F.col("_f").isNotNull()).distinct()
+    each = different.select("_f", F.posexplode(F.split("_f", "_")).alias("_at", "_code"))
+    each = lookup(each, store(first), {"_code": "_c"})
+    shown = F.concat(F.lit(" ;"), F.coalesce("_t", F.lit("")))
+    parts = each.groupBy("_f").agg(F.sort_array(F.collect_list(F.struct("_at", shown.alias("_s")))).alias("_p"))
+    texts = parts.select("_f", F.array_join(F.transform("_p", lambda p: p["_s"]), "").alias("_shown"))
+    return lookup(df.drop(out), store(texts), {column: "_f"}).withColumnRenamed("_shown", out)
 
 
 def display_columns(df: DataFrame, columns: Sequence[str] = DISPLAY_COLUMNS) -> DataFrame:

@@ -3,20 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml.clustering import BisectingKMeansModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from payscore.functions import label_column, percent_text
-from payscore.operators.bayes import Model
+from payscore.operators.bayes import MAX_MODELS, Model
 from payscore.operators.boost import boost_score, fit_boost
 from payscore.operators.catalog import build_catalog, extend_catalog
 from payscore.operators.cluster import assign_clusters, assign_nearest, fit_clusters
 from payscore.operators.dedup import dedup_month, dedup_year
 from payscore.operators.derive import derive_customers
-from payscore.operators.encode import build_dictionary, code_array, index_slots, portrait, slot_entries
+from payscore.operators.encode import build_dictionary, index_slots, portrait, slot_entries
 from payscore.operators.ensemble import Ensemble, build_ensemble, ensemble_score, month_weights
 from payscore.operators.evaluate import evaluate, split_by_key
 from payscore.operators.frequency import attach_frequency
@@ -68,7 +68,9 @@ def catalog(
 ) -> Stored:
     """The feature catalog, or the saved one extended by new values."""
     use = model_features(features)
-    return store(build_catalog(customers, use, ranges) if saved is None else extend_catalog(saved, customers, use, ranges))
+    if saved is None:
+        return store(build_catalog(customers, use, ranges, features))
+    return store(extend_catalog(saved, customers, use, ranges, features))
 
 
 @dataclass
@@ -82,11 +84,15 @@ class Outcome:
 
 
 def _coded(customers: DataFrame, codes: Stored, features: Sequence[Feature], label_mode: int) -> DataFrame:
-    df = portrait(customers, codes, features)
+    df = portrait(customers, codes, features, slots="codes")
     # A group without a code is a row of nulls, which has no portrait.
-    known = F.when(F.col("mios_trans_code").isNotNull(), F.col("features"))
-    return df.withColumn("features", known).withColumns(
-        {"codes": code_array(F.col("features")), "label": label_column(F.col("trans_stat"), label_mode)}
+    here = F.col("mios_trans_code").isNotNull()
+    return df.withColumns(
+        {
+            "features": F.when(here, F.col("features")),
+            "codes": F.when(here, F.col("codes")),
+            "label": label_column(F.col("trans_stat"), label_mode),
+        }
     )
 
 
@@ -114,7 +120,7 @@ def train_month(
     slots = [f.pcode for f in use]
     rows = store(split_by_key(_coded(dedup_month(customers), codes, use, label_mode), *KEY)).df
     index = index_slots(rows, slots)
-    train = rows.where(F.col("part") == "train")
+    train = rows.where((F.col("part") == "train") & F.col("label").isNotNull())
     model = fit_boost(train, slots, n_rounds, smoothing=smoothing, dictionary=index.df)
     scored = boost_score(rows, model)
     results, metrics = _finish(
@@ -132,14 +138,25 @@ def month_models(
     label_mode: int = 0,
     smoothing: float = 1.0,
 ) -> Model:
-    """As :func:`train_month` for every month, all models in the same passes over the data."""
+    """As :func:`train_month` for every month, all models in the same passes over the data.
+
+    Rows without a month train no month's model, and rows without a label none at all. A month with
+    rows of one class only has no model; it is named in the model's ``refused``.
+    """
     use = model_features(features, "month")
     slots = [f.pcode for f in use]
     keys = (month, "trans_stat", "bankacc_id_type", "bankacc_id_no")
     rows = store(split_by_key(_coded(dedup_month(customers, keys), codes, use, label_mode), *KEY)).df
     known = rows.select(F.col(month).alias("model_id"), F.inline(slot_entries(slots))).where(F.col("code").isNotNull())
-    train = rows.where(F.col("part") == "train")
-    return fit_boost(train, slots, n_rounds, smoothing=smoothing, dictionary=store(known.distinct()).df, by=month)
+    known = known.where(F.col("model_id").isNotNull())
+    train = rows.where((F.col("part") == "train") & F.col(month).isNotNull() & F.col("label").isNotNull())
+    classes = train.groupBy(F.col(month).cast("string").alias("m")).agg(F.count_distinct("label").alias("n"))
+    refused = sorted(r["m"] for r in classes.where("n < 2").limit(MAX_MODELS).collect())
+    if refused:
+        train = train.where(~F.col(month).cast("string").isin(refused))
+        known = known.where(~F.col("model_id").cast("string").isin(refused))
+    model = fit_boost(train, slots, n_rounds, smoothing=smoothing, dictionary=store(known.distinct()).df, by=month)
+    return replace(model, refused=tuple(refused))
 
 
 def score_month(
@@ -193,7 +210,7 @@ def _year(
     return Outcome(results, metrics, ensemble, dictionary)
 
 
-def display(results: DataFrame, codes: Stored, year: int, month: int, n: int | None = None) -> DataFrame:
+def display(results: DataFrame, codes: Stored, year: int, month: int) -> DataFrame:
     """The display table's rows for one partition: chosen columns and the features as text."""
-    shown = decode_features(display_columns(results), codes, n)
+    shown = decode_features(display_columns(results), codes)
     return shown.withColumns({"year_id": F.lit(year), "month_id": F.lit(month)})

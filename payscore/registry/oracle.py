@@ -478,10 +478,9 @@ def _statements() -> dict[str, str]:
         f"SELECT '{f.col_name}' AS col_name, count({f.col_name}) AS n_values, '{mode}' AS mode FROM cust"
         for mode, fs in (("all", ACTIVE), ("month", MONTH), ("year", YEAR)) for f in fs
     ))
-    cut = fx.FEATURES[3]._replace(col_name="cut", pcode="41000")
-    source = "(SELECT *, substr(trans_amnt, 1, 2) AS cut FROM cust)"
+    amount = fx.FEATURES[3]._replace(col_name="trans_amnt", pcode="41000")
     out["feature_values"] = sql(BASE, "SELECT DISTINCT pcode AS feature_pcode, value AS feature_value FROM "
-                                f"({feature_rows(source, [*ACTIVE, cut])})")
+                                f"({feature_rows('cust', [*ACTIVE, amount])})")
     out["feature_catalog"] = sql(CATALOG, "SELECT * FROM cat")
     old = feature_rows("(SELECT * FROM cust WHERE year_id = 1996 AND month_id = 3)", ACTIVE)
     out["catalog_extend"] = sql(

@@ -18,7 +18,6 @@ from payscore.sources import active_features, conform, drop_header_lines, load_f
 from payscore.sources import stage_for_scoring, stage_month, stage_year
 from payscore.sources import overwrite_partition, write_file, write_table
 
-RANGES = [*fx.RANGES, fx.OVERLAP]
 SLOTS = encode.slot_names(4)
 MONTHS = [str(m) for m in range(1, 13)]
 STAGED = ["MIOS_TRANS_CODE", "TRANS_CODE", "TRANS_BAT_NO", "TRANS_STAT", "BANKACC_ID_NO", "TRANS_AMNT"]
@@ -153,7 +152,7 @@ def active_features_query(spark, sf):
 
 
 def feature_values_query(spark, sf):
-    df = customers(spark, sf).withColumn("trans_amnt", F.substring("trans_amnt", 1, 2))
+    df = customers(spark, sf)
     extra = fx.FEATURES[3]._replace(col_name="trans_amnt", pcode="41000")
     return catalog.feature_values(df, [*jobs.model_features(fx.FEATURES), extra])
 
@@ -505,7 +504,7 @@ def job_score_year(spark, sf):
 def job_display(spark, sf):
     df, codes = _prepared(spark, sf)
     done = jobs.train_month(df, codes, fx.FEATURES, 2).results
-    shown = jobs.display(done, codes, 2001, fx.CURRENT_MONTH, len(jobs.model_features(fx.FEATURES, "month")))
+    shown = jobs.display(done, codes, 2001, fx.CURRENT_MONTH)
     return shown.withColumn("train_accuracy", F.round("train_accuracy", 6))
 
 

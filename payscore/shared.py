@@ -7,7 +7,6 @@ spreads hot keys over many tasks.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections import Counter
 from collections.abc import Mapping, Sequence
@@ -16,9 +15,12 @@ from dataclasses import dataclass, replace
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A table is broadcast only when rows * row_bytes is at most this.
 BROADCAST_BYTES = 64 << 20
+#: A row width that keeps any table from being broadcast.
+UNMEASURED = 1 << 40
 #: A key is hot when it holds more than 1/HOT_SHARE of the rows, so at most HOT_SHARE keys are.
 HOT_SHARE = 1000
 #: Number of tasks the rows of one hot key are spread over.
@@ -27,7 +29,7 @@ SALTS = 64
 
 @dataclass(frozen=True)
 class Stored:
-    """A table written to the shared folder, with its exact row count."""
+    """A table written to the shared folder, with its exact row count and the mean width of a row."""
 
     df: DataFrame
     rows: int
@@ -67,30 +69,57 @@ def split_by(table: Stored, column: str, values: Sequence[str]) -> list[Stored]:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder for intermediate tables: the cluster's checkpoint folder.
-
-    A private folder is made only in local mode with nothing configured.
-    """
+    """The folder for intermediate tables: the cluster's checkpoint folder, which must be set."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if path:
-        return path.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not path:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    path = tempfile.mkdtemp(prefix="payscore-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
-
-
-def store(df: DataFrame, row_bytes: int = 256) -> Stored:
+    return path.rstrip("/")
+
+
+#: What a value takes in memory besides its content.
+VALUE_BYTES = 16
+
+
+def _width(column: Column, kind: T.DataType) -> Column:
+    """The size of a value in memory, about."""
+    if isinstance(kind, T.StringType | T.BinaryType):
+        size = F.octet_length(column)
+    elif isinstance(kind, T.StructType):
+        parts = [_width(column[f"`{f.name}`"] if "." in f.name else column[f.name], f.dataType) for f in kind.fields]
+        return sum(parts, F.lit(VALUE_BYTES).cast("long"))
+    elif isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, T.StringType):
+            size = F.octet_length(F.array_join(column, "", "")) + F.size(column) * VALUE_BYTES
+        elif isinstance(kind.elementType, T.StructType | T.ArrayType | T.MapType | T.BinaryType):
+            size = F.octet_length(F.to_json(F.struct(column))) + F.size(column) * VALUE_BYTES
+        else:
+            size = F.size(column) * 8
+    elif isinstance(kind, T.MapType):
+        size = F.octet_length(F.to_json(column)) + F.size(column) * VALUE_BYTES
+    else:
+        return F.lit(VALUE_BYTES).cast("long")
+    return F.coalesce(size, F.lit(0)).cast("long") + VALUE_BYTES
+
+
+def store(df: DataFrame, row_bytes: int = 0) -> Stored:
     """Write ``df`` once to the shared folder and read it back.
 
-    The row count is observed by the write itself, so knowing the size costs no extra job.
+    The row count and the rows' width are observed by the write itself, so knowing the size costs no
+    extra job. ``row_bytes`` is the least width to assume; a caller that will never broadcast the
+    table gives ``UNMEASURED`` and saves the measuring.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/payscore-{uuid.uuid4().hex}"
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    return Stored(spark.read.schema(df.schema).parquet(path), seen.get["rows"], row_bytes)
+    measures = [F.count(F.lit(1)).alias("rows")]
+    if row_bytes < UNMEASURED:
+        widths = [_width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields]
+        measures.append(F.sum(sum(widths, F.lit(0).cast("long"))).alias("bytes"))
+    df.observe(seen, *measures).write.parquet(path)
+    got = seen.get
+    rows = got["rows"]
+    measured = -(-(got.get("bytes") or 0) // max(rows, 1))
+    return Stored(spark.read.schema(df.schema).parquet(path), rows, max(row_bytes, measured))
 
 
 def key_hash(*cols: Column) -> Column:
@@ -126,9 +155,22 @@ def spread(cols: Sequence[str]) -> Column:
     return F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in cols]), F.lit(SALTS)).cast("int")
 
 
+def _same_types(fact: DataFrame, dim: Stored, on: Sequence[tuple[Column, str]]) -> tuple[list[tuple[Column, str]], Stored]:
+    """Both sides' keys in their common type: equal keys of different types have different hashes."""
+    same, table = [], dim.df
+    for key, name in on:
+        ours, theirs = fact.select(key).schema[0].dataType, table.schema[name].dataType
+        if ours != theirs:
+            kind = fact.select(F.array(key, F.lit(None).cast(theirs))).schema[0].dataType.elementType
+            key, table = key.cast(kind), table.withColumn(name, F.col(name).cast(kind))
+        same.append((key, name))
+    return same, replace(dim, df=table)
+
+
 def _join(
     fact: DataFrame, dim: Stored, on: Sequence[tuple[Column, str]], how: str, hot: Sequence[int] | None
 ) -> DataFrame:
+    on, dim = _same_types(fact, dim, on)
     keys, names = [k for k, _ in on], [n for _, n in on]
     cond = [k == F.col(n) for k, n in on]
     if dim.broadcastable:
