@@ -6,12 +6,14 @@
 3. Neighbours in the sorted order that share at least ``shallow`` leading values are candidates. In a
    sparse region that is everything near; in a dense one the neighbours in the order are those with
    the longest common prefix, so the depth in use follows the region.
-4. First every class is compared with its best neighbour only, on the full sets, and the confirmed
-   pairs are joined to components. Then neighbours within a region that lie in different components
-   are compared, first the nearest ones and then all within ``reach`` places, until a round confirms
-   nothing new. So a text that is near only one of thousands of copies still meets that one.
-
-A 1-bit sketch of the signature lets candidates pass that could be similar enough; every link is
+4. First every class is compared with its nearest neighbour only, on the full sets, and the confirmed
+   pairs are joined to components. Then each class is compared with its best neighbour in another
+   component among the ``near`` next places, and then with more and more of those within ``reach``
+   places, best agreement of signatures first, as long as a round confirms something new. So a text
+   that is near only a few of thousands of copies still meets them, and texts that are linked already
+   are not compared.
+
+One byte of each value of the signature lets candidates pass that could be similar enough; every link is
 confirmed on full sets of 64-bit shingle hashes. A pair at the threshold shares three leading values
 in one tree with probability 0.51, and in none of 16 trees with 0.00001.
 
@@ -31,10 +33,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from payscore.llm.common import table
-from payscore.llm.components import components
+from payscore.llm.common import table, unpack, with_row
+from payscore.llm.components import TASK_ROWS, components
 from payscore.llm.shingles import chunks, mix, shingle_sets
-from payscore.shared import Stored, lookup, store
+from payscore.shared import UNMEASURED, lookup, store
 
 
 @dataclass(frozen=True)
@@ -48,9 +50,11 @@ class Forest:
     shallow: int = 3
     near: int = 16
     reach: int = 4096
-    #: Candidates whose sketches agree in a smaller part are too far apart (0.9 is expected at 80 percent).
-    least_agreement: float = 0.74
-    max_rounds: int = 20
+    #: Candidates that agree in a smaller part of their values are too far apart (at 80 percent, one in 100,000 is).
+    least_agreement: float = 0.62
+    #: Rows of one range of a sorted order.
+    range_rows: int = 200_000
+    max_rounds: int = 40
 
     @property
     def values(self) -> int:
@@ -96,36 +100,34 @@ def _read(rule: Forest, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
             )
 
 
-def _labels(rule: Forest, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per tree: tree, label, node, root, sketch."""
+def _labels(rule: Forest, sketched: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per tree: tree, label, node, root, n_shingles, and the lowest byte of every value as sketch."""
     for batch in batches:
         if not len(batch):
             continue
-        values = np.frombuffer(b"".join(batch.column(2).to_pylist()), ">u4").reshape(len(batch), rule.values)
-        bits = (values.astype(np.uint32) * np.uint32(0x9E3779B1)) >> np.uint32(31)
-        sketches = pa.array([x.tobytes() for x in np.packbits(bits.astype(np.uint8), axis=1)], pa.binary())
+        values = np.frombuffer(b"".join(batch.column(3).to_pylist()), ">u4").reshape(len(batch), rule.values)
+        bytes_ = (values.astype(np.uint32) & np.uint32(255)).astype(np.uint8)
+        sketches = pa.array([x.tobytes() if sketched else b"" for x in bytes_], pa.binary())
         for t in range(rule.trees):
             part = np.ascontiguousarray(values[:, t * rule.depth : (t + 1) * rule.depth])
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(len(batch), t, np.int32)),
-                    pa.array([x.tobytes() for x in part], pa.binary()),
-                    batch.column(0),
-                    batch.column(1),
-                    sketches,
+                    pa.array(np.full(len(batch), t, np.int32)), pa.array([x.tobytes() for x in part], pa.binary()),
+                    batch.column(0), batch.column(1), batch.column(2), sketches,
                 ],
-                ["tree", "label", "node", "root", "sketch"],
-            )
+                ["tree", "label", "node", "root", "n", "sketch"],
+            )
 
 
-_ORDERED = "tree int, label binary, node long, root long, sketch binary"
+_ORDERED = "tree int, label binary, node long, root long, n long, sketch binary"
 
 
-def _neighbours(rule: Forest, reach: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, shared) of rows of one sorted range that lie at most ``reach`` places apart.
+def _neighbours(rule: Forest, reach: int, ranks: tuple[int, int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b, value) of rows of one sorted range that lie at most ``reach`` places apart.
 
-    Pairs within a component are left out. A range may end inside a region; the pairs across that
-    cut are left to the other trees.
+    Pairs within a component, of sizes too different, or of sketches too different are left out.
+    Each row gives its pairs of the given ``ranks``, best agreement first. A range may end inside a
+    region; the pairs across that cut are left to the other trees.
     """
     tail: pa.Table | None = None
     for batch in batches:
@@ -138,10 +140,11 @@ def _neighbours(rule: Forest, reach: int, batches: Iterator[pa.RecordBatch]) ->
         n = len(rows)
         if n < 2:
             continue
-        tree, node, root = (rows.column(c).to_numpy() for c in ("tree", "node", "root"))
+        tree, node, root, size = (rows.column(c).to_numpy() for c in ("tree", "node", "root", "n"))
         labels = np.frombuffer(b"".join(rows.column("label").to_pylist()), ">u4").reshape(n, rule.depth).astype(np.uint32)
         sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(n, -1)
-        i = np.arange(n)
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        many, i = 0, np.arange(n)
         for j in range(1, min(reach, n - 1) + 1):
             # Rows are sorted: where a region ends before the j-th place, it does so for every later one.
             i = i[i < n - j]
@@ -149,17 +152,39 @@ def _neighbours(rule: Forest, reach: int, batches: Iterator[pa.RecordBatch]) ->
             if not len(i):
                 break
             k = i[(i + j >= old) & (root[i] != root[i + j])]
-            differ = np.bitwise_count(sketches[k] ^ sketches[k + j]).sum(axis=1, dtype=np.int64)
-            k = k[differ <= (1 - rule.least_agreement) * rule.values]
+            k = k[100 * np.minimum(size[k], size[k + j]) >= rule.percent * np.maximum(size[k], size[k + j])]
+            agree = (sketches[k] == sketches[k + j]).sum(axis=1)
+            if sketches.shape[1]:
+                good = agree >= rule.least_agreement * rule.values
+                k, agree = k[good], agree[good]
             if not len(k):
                 continue
             shared = np.cumprod(labels[k] == labels[k + j], axis=1).sum(axis=1)
-            x, y = node[k], node[k + j]
+            value = agree * (rule.depth + 1) + shared
+            found += [(k, k + j, value), (k + j, k, value)]
+            many += 2 * len(k)
+            if many > 2_000_000:
+                found = [_best(found, 0, ranks[1])]
+                many = len(found[0][0])
+        if found:
+            here, there, value = _best(found, *ranks)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(shared.astype(np.int32))], ["a", "b", "shared"]
+                [pa.array(node[here]), pa.array(node[there]), pa.array(value.astype(np.int32))], ["a", "b", "value"]
             )
 
 
+def _best(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], first: int, last: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each row its pairs from the ``first`` best to before the ``last``."""
+    here, there, value = (np.concatenate(x) for x in zip(*found, strict=True))
+    by = np.lexsort((there, -value, here))
+    here, there, value = here[by], there[by], value[by]
+    fresh = np.ones(len(here), bool)
+    fresh[1:] = here[1:] != here[:-1]
+    rank = np.arange(len(here)) - np.maximum.accumulate(np.where(fresh, np.arange(len(here)), 0))
+    keep = (rank >= first) & (rank < last)
+    return here[keep], there[keep], value[keep]
+
+
 def _confirm(rule: Forest, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs (a, b) whose full sets are near enough, from rows a, b, text of a, text of b."""
     for batch in batches:
@@ -191,52 +216,76 @@ def linked(docs: DataFrame, rule: Forest = Forest()) -> tuple[DataFrame, DataFra
 
     ``component`` is the least id of all documents linked, directly or through others.
     """
-    rows = store(classes(docs, rule), 600).df
+    rows = store(classes(docs, rule), UNMEASURED).df
     members = rows.select("doc_id", "n_shingles", "node")
-    met = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"), F.min("signature").alias("signature"))
-    nodes = store(met, 600).df
-    roots, links, done = nodes.select("node", F.col("node").alias("root")), None, None
-    active, texts = nodes, None
+    met = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"), F.min("signature").alias("signature"), F.min("n_shingles").alias("n"))
+    nodes = store(met, UNMEASURED)
+    roots, done, texts = None, None, None
+    active, ranges = nodes, max(1, -(-nodes.rows * rule.trees // rule.range_rows))
+    nodes = nodes.df
+    ranks = (0, 1)
     for turn in range(rule.max_rounds):
-        reach = (1, rule.near, rule.reach)[min(turn, 2)]
+        # First the nearest neighbour of each class, then its best ones in other components: one of
+        # those near, then more and more of all in the region, until a round confirms nothing new.
+        given = active.df.select("node", F.col("node").alias("root"), "n", "signature")
+        if roots is not None:
+            given = active.df.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "n", "signature")
+        near = store(_candidates(given, rule, ranges, (1, rule.near, rule.reach)[min(turn, 2)], turn > 0, ranks), UNMEASURED)
+        some = near.df.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        if turn != 1:
+            # Only classes with a neighbour can be linked, now or later.
+            active = store(active.df.join(some, "node", "left_semi"), UNMEASURED)
+            ranges = max(1, -(-active.rows * rule.trees // rule.range_rows))
         if turn == 0:
-            given = active.select("node", F.col("node").alias("root"), "signature")
+            texts = store(_texts_of(docs, rows, active.df), UNMEASURED).df
+            pairs = near.df.groupBy("a").agg(F.max_by("b", F.struct("value", "b")).alias("b"))
         else:
-            given = active.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "signature")
-        order = given.mapInArrow(lambda batches: _labels(rule, batches), _ORDERED)
-        order = store(order, 100)
-        ranges = max(1, -(-order.rows // 200_000))
-        sorted_ = order.df.repartitionByRange(ranges, "tree", "label", "node").sortWithinPartitions("tree", "label", "node")
-        near = sorted_.mapInArrow(lambda batches, reach=reach: _neighbours(rule, reach, batches), "a long, b long, shared int")
-        if turn == 0:
-            near = store(near, 20).df
-            # Only classes with a neighbour can ever be linked.
-            some = near.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-            active = store(nodes.join(some, "node", "left_semi"), 600).df
-            texts = store(_texts_of(docs, rows, active), 8192).df
-            best = near.groupBy("b").agg(F.max_by("a", F.struct("shared", "a")).alias("a"))
-            pairs = best.select("a", "b")
-        else:
-            pairs = near.select("a", "b").distinct()
-            pairs = pairs if done is None else pairs.join(done, ["a", "b"], "left_anti")
-        pairs = store(pairs, 16)
-        if not pairs.rows and turn > 1:
+            pairs = near.df
+        tasks = 4 + near.rows // TASK_ROWS
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().coalesce(tasks)
+        pairs = store(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti").coalesce(tasks), UNMEASURED)
+        done = pairs.df if done is None else done.unionAll(pairs.df)
+        new = None
+        if pairs.rows:
+            sides = [texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab"]
+            full = pairs.df.join(sides[0], "a").join(sides[1], "b").select("a", "b", "text_a", "text_b")
+            new = store(full.mapInArrow(lambda batches: _confirm(rule, batches), "a long, b long"), UNMEASURED)
+        if new is not None and new.rows:
+            roots = store(_joined(new.df, roots), UNMEASURED).df
+        elif turn > 1:
             break
-        done = pairs.df if done is None else store(done.unionAll(pairs.df), 16).df
-        sides = [texts.select(F.col("node").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab"]
-        full = pairs.df.join(sides[0], "a").join(sides[1], "b").select("a", "b", "text_a", "text_b")
-        new = store(full.mapInArrow(lambda batches: _confirm(rule, batches), "a long, b long"), 16)
-        if not new.rows and turn:
-            if turn > 1:
-                break
-            continue
-        links = new.df if links is None else links.unionAll(new.df)
-        roots = store(components(links), 16).df
+        if turn > 1:
+            ranks = (ranks[1], 4 * ranks[1])
+        elif turn == 1:
+            ranks = (0, 4)
+    if roots is None:
+        roots = nodes.select("node", F.col("node").alias("root"))
     both = nodes.select("node", "least").join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     least = both.groupBy("root").agg(F.min("least").alias("component"))
     return members, both.join(least, "root").select("node", "component")
 
 
+def _joined(links: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(node, root) after new links: components of the components that they touch."""
+    if roots is None:
+        return components(links)
+    for c in "ab":
+        at = roots.select(F.col("node").alias(f"node_{c}"), F.col("root").alias(f"root_{c}"))
+        links = links.join(at, F.col(f"node_{c}") == F.col(c), "left").withColumn(c, F.coalesce(f"root_{c}", c)).select("a", "b")
+    met = components(links).withColumnsRenamed({"node": "old", "root": "new"})
+    moved = roots.join(met, F.col("old") == F.col("root"), "left").select("node", F.coalesce("new", "root").alias("root"))
+    # Nodes that had no link before are their own old root.
+    fresh = met.join(roots.select("node"), F.col("old") == F.col("node"), "left_anti").select(F.col("old").alias("node"), F.col("new").alias("root"))
+    return moved.unionAll(fresh)
+
+
+def _candidates(given: DataFrame, rule: Forest, ranges: int, reach: int, sketched: bool, ranks: tuple[int, int]) -> DataFrame:
+    """Pairs of near rows in any of the sorted orders of (node, root, n, signature)."""
+    order = given.mapInArrow(lambda batches: _labels(rule, sketched, batches), _ORDERED)
+    order = order.repartitionByRange(ranges, "tree", "label", "node").sortWithinPartitions("tree", "label", "node")
+    return order.mapInArrow(lambda batches: _neighbours(rule, reach, ranks, batches), "a long, b long, value int")
+
+
 def _texts_of(docs: DataFrame, rows: DataFrame, active: DataFrame) -> DataFrame:
     """(node, text): one text of each active class."""
     wanted = rows.join(active.select("node"), "node", "left_semi")
@@ -258,8 +307,6 @@ def keep_one(docs: DataFrame, rule: Forest = Forest()) -> DataFrame:
     """One document of each group, with its own columns. Rows without an id stay."""
     judged = near_duplicates(docs, rule)
     gone = store(judged.where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct().withColumn("gone", F.lit(True)), 24)
-    from payscore.llm.common import unpack, with_row
-
     rows = with_row(docs, _id=docs["doc_id"])
     return unpack(lookup(rows, gone, {"_id": "id"}).where("gone IS NULL"))
 
