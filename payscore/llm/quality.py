@@ -207,3 +207,62 @@ def keep_good(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 def op8_quality(spark, sf_dir: str) -> DataFrame:
     return assess(table(spark, sf_dir, "documents")).drop("chars_divergence", "words_divergence")
+
+
+def _sql(rules: Rules = Rules()) -> str:
+    """The same in SQL: windows and histograms as rows."""
+    words = r"[^\x20\x09-\x0D]+"
+    listed = ", ".join(f"('{lang}', {k}, '{w}')" for lang, ws in COMMON_WORDS.items() for k, w in enumerate(ws))
+    classes = [r"\p{Lu}", r"\p{Nd}", r".,;:!?''\"()\-", "#*$%&|<>"]
+    counts = ", ".join(f"length(regexp_replace(text, '[^{c}]+', '', 'g')) AS c{k}" for k, c in enumerate(classes))
+    last = len(classes)
+    chars = " UNION ALL ".join(f"SELECT rid, ref, n_chars AS total, {k} AS k, c{k} AS n FROM h" for k in range(last))
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS text FROM documents),
+listed(lang, k, word) AS (VALUES {listed}),
+w AS (
+  SELECT *, regexp_extract_all(text, '{words}') AS words, length(text) AS n_chars, {counts},
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{words}')) AS lines,
+         CASE WHEN lang IN (SELECT lang FROM listed) THEN lang END AS ref
+  FROM d
+), h AS (SELECT *, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars FROM w),
+five AS (
+  SELECT rid, i, array_to_string(words[i:i + 4], ' ') AS t
+  FROM (SELECT rid, words, unnest(range(1, len(words) - 3)) AS i FROM h)
+), twice AS (SELECT rid, i FROM five QUALIFY count(*) OVER (PARTITION BY rid, t) > 1),
+covered AS (SELECT rid, count(DISTINCT i + o) AS n FROM twice, range(5) AS r(o) GROUP BY rid),
+some_chars AS ({chars} UNION ALL SELECT rid, ref, n_chars, {last}, n_chars - word_chars FROM h),
+chars AS (
+  SELECT * FROM some_chars
+  UNION ALL SELECT rid, any_value(ref), any_value(total), {last + 1}, any_value(total) - sum(n) FROM some_chars GROUP BY rid
+), some_terms AS (
+  SELECT rid, ref, n_words AS total, k, len(list_filter(words, lambda x: x = word)) AS n FROM h JOIN listed ON listed.lang = h.ref
+), terms AS (
+  SELECT * FROM some_terms
+  UNION ALL SELECT rid, any_value(ref), any_value(total), -1, any_value(total) - sum(n) FROM some_terms GROUP BY rid
+), char_refs AS (
+  SELECT ref, k, sum(n) / sum(sum(n)) OVER (PARTITION BY ref) AS q FROM chars WHERE ref IS NOT NULL GROUP BY ref, k
+  UNION ALL SELECT NULL, k, sum(n) / sum(sum(n)) OVER () FROM chars GROUP BY k
+), term_refs AS (SELECT ref, k, sum(n) / sum(sum(n)) OVER (PARTITION BY ref) AS q FROM terms GROUP BY ref, k),
+shares AS (
+  SELECT 'c' AS kind, rid, n / total AS p, q FROM chars JOIN char_refs ON chars.k = char_refs.k AND chars.ref IS NOT DISTINCT FROM char_refs.ref WHERE total > 0
+  UNION ALL SELECT 'w', rid, n / total, q FROM terms JOIN term_refs USING (ref, k) WHERE total > 0
+), apart AS (
+  SELECT kind, rid, sum(CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2 AS bits
+  FROM shares GROUP BY kind, rid
+), judged AS (
+  SELECT doc_id, n_words, word_chars, c3 AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+         coalesce(covered.n, 0) AS n_repeat_words, a.bits AS by_char, b.bits AS by_word
+  FROM h LEFT JOIN covered USING (rid) LEFT JOIN apart a ON a.rid = h.rid AND a.kind = 'c' LEFT JOIN apart b ON b.rid = h.rid AND b.kind = 'w'
+), failed AS (
+  SELECT *, n_words < {rules.min_words} OR 100 * n_repeat_words > {rules.max_repeat_percent} * n_words AS base_failed FROM judged
+)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce(n_words >= {rules.chars_from} AND by_char > {rules.max_chars_divergence}, false)
+       AND NOT coalesce(n_words >= {rules.words_from} AND by_word > {rules.max_words_divergence}, false) AS kept
+FROM failed
+"""
+
+
+OP8_SQL = _sql()

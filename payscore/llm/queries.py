@@ -23,4 +23,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op7_mixing": mixing.OP7_SQL,
+    "op8_quality": quality.OP8_SQL,
 }
