@@ -177,6 +177,8 @@ def per_class(labels: Sequence[float], value: Column) -> Column:
 def collect_totals(sums: DataFrame, *keys: str) -> list[Row]:
     """One short row per model, label and key: what of a pass the driver needs."""
     own = F.col("slot") == ""
+    # With a key, right or wrong, there are two rows for each model and class.
+    most = MAX_MODELS * MAX_CLASSES * 2 ** len(keys)
     rows = (
         sums.groupBy("model_id", "label", *keys)
         .agg(
@@ -184,10 +186,10 @@ def collect_totals(sums: DataFrame, *keys: str) -> list[Row]:
             F.sum(F.when(own, F.col("w"))).alias("weight"),
             F.sum(F.when(own, 0.0).otherwise(F.col("w"))).alias("terms"),
         )
-        .limit(MAX_MODELS * MAX_CLASSES + 1)
+        .limit(most + 1)
         .collect()
     )
-    if len(rows) > MAX_MODELS * MAX_CLASSES:
+    if len(rows) > most:
         raise ValueError("too many models times classes")
     return rows
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,14 +19,28 @@ bank_trans_desc mio_cust_name gclk_branch_no gclk_clerk_code mio_tx_no
 """.split()
 
 
+def _folder(spark: SparkSession, root: str, *parts: str) -> DataFrame | None:
+    """The files of one partition folder, with the columns its path stands for; None if there is no such folder."""
+    try:
+        return spark.read.option("basePath", root).parquet("/".join([root.rstrip("/"), *parts]))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def read_year(spark: SparkSession, root: str, year: int) -> DataFrame:
-    """All months of a year below ``root/year_id=…/month_id=…``; other folders are not read."""
-    return spark.read.parquet(root).where(F.col("year_id") == year)
+    """All months of a year below ``root/year_id=…/month_id=…``; other folders are neither listed nor read."""
+    found = _folder(spark, root, f"year_id={year}")
+    # A year written in another way is found by its value.
+    return (spark.read.parquet(root) if found is None else found).where(F.col("year_id") == year)
 
 
 def read_month(spark: SparkSession, root: str, year: int, month: int) -> DataFrame:
     """One month below ``root/year_id=…/month_id=…``; a month without files gives no rows."""
-    return read_year(spark, root, year).where(F.col("month_id") == month)
+    found = _folder(spark, root, f"year_id={year}", f"month_id={month}")
+    year_rows = read_year(spark, root, year) if found is None else found.where(F.col("year_id") == year)
+    return year_rows.where(F.col("month_id") == month)
 
 
 def conform(df: DataFrame, columns: Sequence[str]) -> DataFrame:
