@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from payscore.llm import suffixes
 from payscore.llm.common import table
 from payscore.llm.shingles import mix
-from payscore.shared import Stored, store
+from payscore.shared import UNMEASURED, store
 
 LAST = np.iinfo(np.int64).max
 
@@ -50,9 +50,9 @@ class Passages:
     gram: int = 20
     shard_bytes: int = 2 << 20
     #: Marks of one range, and bytes of one range of runs.
-    range_marks: int = 1 << 20
-    range_bytes: int = 3 << 20
-    array_bytes: int = 4 << 20
+    range_marks: int = 1 << 19
+    range_bytes: int = 2 << 20
+    array_bytes: int = 1 << 19
     hot_runs: int = 100_000
     #: Windows of one run, at most as many as bits of its answer.
     run_windows: int = 64
@@ -112,21 +112,26 @@ class Shard:
             self.starts = self.counts = self.docs = np.zeros(0, np.int64)
             self.marks = np.zeros(0, np.uint64)
             return
-        marks = self._marks(windows) >> np.uint64(64 - bits)
-        doc = np.repeat(np.arange(len(sizes)), np.diff(self.offsets))[:windows]
-        valid = np.arange(windows) + rule.length <= self.offsets[doc + 1]
-        places = np.flatnonzero(valid)
-        if not len(places):
-            self.starts = self.counts = self.docs = np.zeros(0, np.int64)
-            self.marks = np.zeros(0, np.uint64)
-            return
-        fresh = np.ones(len(places), bool)
-        fresh[1:] = (places[1:] != places[:-1] + 1) | (marks[places[1:]] != marks[places[:-1]]) | (doc[places[1:]] != doc[places[:-1]])
-        since = np.arange(len(places)) - np.maximum.accumulate(np.where(fresh, np.arange(len(places)), 0))
-        fresh |= since % rule.run_windows == 0
-        first = np.flatnonzero(fresh)
-        self.starts, self.marks, self.docs = places[first], marks[places[first]], doc[places[first]]
-        self.counts = np.diff(np.append(first, len(places)))
+        marks = self._marks(windows)
+        fresh = np.empty(windows, bool)
+        fresh[0] = True
+        np.not_equal(marks[1:], marks[:-1], out=fresh[1:])
+        fresh[self.offsets[:-1][self.offsets[:-1] < windows]] = True
+        starts = np.flatnonzero(fresh)
+        del fresh
+        docs = np.searchsorted(self.offsets, starts, "right") - 1
+        # A run ends where the next one starts, or with the last window of its document.
+        ends = np.minimum(np.append(starts[1:], windows), self.offsets[docs + 1] - rule.length + 1)
+        whole = ends > starts
+        starts, ends, docs = starts[whole], ends[whole], docs[whole]
+        # Least hashes are small numbers; mixed once more they spread evenly over the ranges.
+        marks = mix(marks[starts]) >> np.uint64(64 - bits)
+        parts = -(-(ends - starts) // rule.run_windows)
+        of = np.repeat(np.arange(len(starts)), parts)
+        nth = np.arange(len(of)) - np.repeat(np.cumsum(parts) - parts, parts)
+        self.starts = starts[of] + nth * rule.run_windows
+        self.counts = np.minimum(ends[of] - self.starts, rule.run_windows)
+        self.marks, self.docs = marks[of], docs[of]
 
     def _marks(self, windows: int) -> np.ndarray:
         rule, data = self.rule, suffixes.padded(self.data)
@@ -134,8 +139,12 @@ class Shard:
         words = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
         h = words[:n] * np.uint64(0x9E3779B97F4A7C15)
         for k in [*range(8, rule.gram - 8, 8), rule.gram - 8]:
-            h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + words[k : k + n]
-        h = mix(h)
+            h ^= h >> np.uint64(29)
+            h *= np.uint64(0xBF58476D1CE4E5B9)
+            h += words[k : k + n]
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xFF51AFD7ED558CCD)
+        h ^= h >> np.uint64(29)
         # The least of `reach` values from every place on, by doubling.
         reach, have = rule.length - rule.gram + 1, 1
         while have < reach:
@@ -268,7 +277,8 @@ def _array_of(rule: Passages, strings: list[bytes], least: np.ndarray) -> tuple[
     first = np.cumsum(counts) - counts
     text = np.repeat(np.arange(len(strings)), counts)
     starts = (ends - sizes)[text] + np.arange(int(counts.sum())) - first[text]
-    by = suffixes.order(data, np.repeat(ends, sizes), starts, rule.length)
+    del text
+    by = suffixes.order(data, np.repeat(ends.astype(np.int32), sizes), starts, rule.length)
     agree = suffixes.common_prefixes(data, by, rule.length)
     fresh = agree < rule.length
     fresh[0] = True
@@ -419,20 +429,20 @@ def _bits_for(total: float, each: int) -> int:
 def without_repeats(docs: DataFrame, rule: Passages = Passages()) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the kept bytes of each document."""
     shards = store(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(lambda b: _shards(rule, b), _SHARDS), 1 << 20
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(lambda b: _shards(rule, b), _SHARDS), UNMEASURED
     ).df
     size = shards.agg(F.sum("bytes")).first()[0] or 0
     # About two marks in a window's length of grams are least ones.
     ranges = _bits_for(2 * size / (rule.length - rule.gram + 1), rule.range_marks)
     bits = ranges + 32
     listed = shards.mapInArrow(lambda b: _listed(rule, bits, ranges, b), _LISTED)
-    flags = store(listed.groupBy("r").applyInArrow(lambda t: _flagged(rule, t), _FLAGS), 4096).df
+    flags = store(listed.groupBy("r").applyInArrow(lambda t: _flagged(rule, t), _FLAGS), UNMEASURED).df
     sums = flags.agg(F.sum("shared").alias("shared"), F.sum("hot").alias("hot")).first()
     per_shard = flags.groupBy(F.col("shard").alias("s")).agg(F.collect_list(F.struct("r", "n", "flags")).alias("flags"))
     known = shards.join(per_shard, F.col("s") == F.col("shard"), "left").drop("s")
     spread = min(bits, _bits_for((sums["shared"] or 0) * (rule.length + 15), rule.range_bytes))
     sent = known.mapInArrow(lambda b: _cut(rule, bits, spread, b), _SENT)
-    answers = store(sent.groupBy("q").applyInArrow(lambda t: _answered(rule, t), _ANSWER), 4096).df
+    answers = store(sent.groupBy("q").applyInArrow(lambda t: _answered(rule, t), _ANSWER), UNMEASURED).df
     back = answers.groupBy(F.col("shard").alias("s")).agg(F.collect_list(F.struct("q", "n", "bits")).alias("answers"))
     known = known.join(back, F.col("s") == F.col("shard"), "left").drop("s")
     none = F.lit(None).cast("array<struct<window:binary,least:bigint>>")
@@ -447,7 +457,7 @@ def without_repeats(docs: DataFrame, rule: Passages = Passages()) -> DataFrame:
 def _hot(shards: DataFrame, per_shard: DataFrame, rule: Passages, bits: int) -> DataFrame:
     """The windows of hot marks of each shard, with the least id that has them anywhere."""
     known = shards.join(per_shard, F.col("s") == F.col("shard"), "left").drop("s")
-    rows = store(known.mapInArrow(lambda b: _windows(rule, bits, b), "shard long, window binary, least long"), 80).df
+    rows = store(known.mapInArrow(lambda b: _windows(rule, bits, b), "shard long, window binary, least long"), UNMEASURED).df
     lowest = rows.groupBy("window").agg(F.min("least").alias("least"))
     all_ = rows.select("shard", "window").join(lowest, "window")
     return all_.groupBy(F.col("shard").alias("s")).agg(F.collect_list(F.struct("window", "least")).alias("hot_windows"))

@@ -39,9 +39,9 @@ def order(data: np.ndarray, ends: np.ndarray, starts: np.ndarray, depth: int) ->
     its text. ``depth`` is 8 at least.
     """
     n = len(data) - _PAD
-    left = ends - np.arange(n)
+    left = ends - np.arange(n, dtype=np.int32)
     here = np.flatnonzero(left >= 8)
-    rank = np.zeros(n, np.int64)
+    rank = np.zeros(n, np.int32)
     by, group = _grouped(_eight(data, True)[here])
     rank[here[by]] = group
     known = 8
@@ -57,7 +57,7 @@ def order(data: np.ndarray, ends: np.ndarray, starts: np.ndarray, depth: int) ->
         if len(some):
             keys = (rank[some].astype(np.uint64) << np.uint64(32)) | rank[some + step].astype(np.uint64)
             by, group = _grouped(keys)
-            old = rank[some][by]
+            old = rank[some[by]]
             first = np.ones(len(old), bool)
             first[1:] = old[1:] != old[:-1]
             base = np.maximum.accumulate(np.where(first, np.arange(len(old)), 0))
