@@ -110,7 +110,7 @@ def _terms(text: Column) -> Column:
 def _near(rows: DataFrame, rule: Disclosure) -> DataFrame:
     """(id, entity, context, term) for the terms around each entity, in its line."""
     chars = 24 * rule.reach
-    seen = rows.where(F.size("_base") > 0).withColumn("s", F.explode("_base"))
+    seen = rows.withColumn("s", F.explode("_base"))
     start, end = F.col("s.start"), F.col("s.end")
     from_ = F.greatest(start - chars, F.lit(0))
     before = F.substring_index(F.substring(F.col("_text"), from_ + 1, start - from_), "\n", -1)
@@ -124,41 +124,40 @@ def _near(rows: DataFrame, rule: Disclosure) -> DataFrame:
 
 
 def disclosing_terms(docs: DataFrame, rule: Disclosure = Disclosure()) -> Stored:
-    """(term, disclosure) of the terms that give some entity away, from counts over all documents."""
+    """For each id, the terms of its text that give some entity away, from counts over all documents."""
     text = docs.select(F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("_text"))
-    near = store(_near(with_spans(text), rule)).df
+    held = store(with_spans(text).where(F.size("_base") > 0)).df
+    near = store(_near(held, rule)).df
     per_doc = near.select("entity", "_id").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     contexts = near.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("contexts"))
     together = near.select("entity", "term", "_id").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et"))
     pairs = contexts.where(F.col("contexts") >= rule.min_contexts).join(together, ["entity", "term"]).join(per_doc, "entity")
+    # The documents with any entity are some of those that have a term. A term that already says too
+    # little by their number cannot say more by its full count.
+    n = docs.count()
+    in_held = held.select(F.explode(F.array_distinct(_terms(F.col("_text")))).alias("term"))
+    some = in_held.groupBy("term").agg(F.count(F.lit(1)).alias("some"))
+    pairs = pairs.where(F.col("n_e") < n).join(some, "term").where(_told("some", n) >= rule.generalise_from)
     pairs = store(pairs.select("entity", "term", "n_et", "n_e"), 192)
     wanted = store(pairs.df.select("term").distinct(), 64)
-    words = text.select(F.explode(F.array_distinct(_terms(F.col("_text")))).alias("word"))
-    df = lookup_inner(words, wanted).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
-    n = docs.count()
-    told = 1 - F.log(F.greatest(F.col("df") / F.col("n_et"), F.lit(1.0))) / F.log(F.lit(float(n)) / F.col("n_e"))
-    scored = pairs.df.join(df, F.col("word") == F.col("term")).where(F.col("n_e") < n)
-    most = scored.groupBy("term").agg(F.max(told).alias("disclosure"))
-    return store(most.where(F.col("disclosure") >= rule.generalise_from), 80)
-
-
-def lookup_inner(words: DataFrame, terms: Stored) -> DataFrame:
-    """The rows of ``words`` whose word is among ``terms``."""
-    return lookup(words, terms, {"word": "term"}, "inner")
+    words = text.select("_id", F.explode(F.array_distinct(_terms(F.col("_text")))).alias("word"))
+    seen = store(lookup(words, wanted, {"word": "term"}, "inner"), 64).df
+    df = seen.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    scored = pairs.df.join(df, F.col("word") == F.col("term"))
+    terms = scored.groupBy("word").agg(F.max(_told("df", n)).alias("disclosure")).where(F.col("disclosure") >= rule.generalise_from)
+    found = seen.distinct().join(terms, "word").groupBy("_id")
+    return store(found.agg(F.sort_array(F.collect_set(F.struct(F.col("word").alias("t"), "disclosure"))).alias("_found")), 4096)
 
 
-def _patterns(docs: DataFrame, terms: Stored) -> Stored:
-    """For each id, the terms to look for in its text, as one pattern for each degree of disclosure."""
-    words = docs.select(F.col("doc_id").alias("_id"), F.explode(F.array_distinct(_terms(F.coalesce("text", F.lit(""))))).alias("word"))
-    found = words.withColumn("t", F.col("word"))
-    found = lookup(found, Stored(terms.df, terms.rows, terms.row_bytes), {"word": "term"}, "inner").distinct()
-    return store(found.groupBy("_id").agg(F.sort_array(F.collect_set(F.struct("t", "disclosure"))).alias("_found")), 4096)
+def _told(count: str, n: int) -> Column:
+    """The share of an entity's information that a term gives, if ``count`` documents have the term."""
+    times = F.greatest(F.col(count) / F.col("n_et"), F.lit(1.0))
+    return 1 - F.log(times) / F.log(F.lit(float(n)) / F.col("n_e"))
 
 
 def marked(rows: DataFrame, docs: DataFrame, rule: Disclosure = Disclosure()) -> DataFrame:
     """Adds ``_base`` and ``_all`` (with the terms) to rows with _id and _text, taken from ``docs``."""
-    terms = disclosing_terms(docs, rule)
-    found = _patterns(docs, terms)
+    found = disclosing_terms(docs, rule)
     key = F.coalesce(F.concat(F.lit("="), F.col("_id").cast("string")), F.lit(""))
     found = Stored(found.df.select(key.alias("_key"), "_found"), found.rows, found.row_bytes)
     df = with_spans(lookup(rows.withColumn("_key", key), found, {"_key": "_key"}).drop("_key"))
