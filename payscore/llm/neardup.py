@@ -8,10 +8,10 @@
    the longest common prefix, so the depth in use follows the region.
 4. First every class is compared with its nearest neighbour only, on the full sets, and the confirmed
    pairs are joined to components. Then each class is compared with its best neighbour in another
-   component among the ``near`` next places, and then with more and more of those within ``reach``
-   places, best agreement of signatures first, as long as a round confirms something new. So a text
-   that is near only a few of thousands of copies still meets them, and texts that are linked already
-   are not compared.
+   component among the ``near`` next places, and then with more and more of all that share ``shallow``
+   leading values with it in any tree, best agreement of signatures first, until no candidate is left
+   uncompared. Regions of more than ``block_rows`` classes are cut into blocks, and every two blocks
+   meet in a task. Texts that are linked already are not compared.
 
 One byte of each value of the signature lets candidates pass that could be similar enough; every link is
 confirmed on full sets of 64-bit shingle hashes. A pair at the threshold shares three leading values
@@ -25,6 +25,7 @@ result.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -49,12 +50,12 @@ class Forest:
     depth: int = 6
     shallow: int = 3
     near: int = 16
-    reach: int = 4096
+    #: Classes of one block of a region.
+    block_rows: int = 1024
     #: Candidates that agree in a smaller part of their values are too far apart (at 80 percent, one in 100,000 is).
     least_agreement: float = 0.62
     #: Rows of one range of a sorted order.
     range_rows: int = 200_000
-    max_rounds: int = 40
 
     @property
     def values(self) -> int:
@@ -122,29 +123,31 @@ def _labels(rule: Forest, sketched: bool, batches: Iterator[pa.RecordBatch]) ->
 _ORDERED = "tree int, label binary, node long, root long, n long, sketch binary"
 
 
-def _neighbours(rule: Forest, reach: int, ranks: tuple[int, int], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, value) of rows of one sorted range that lie at most ``reach`` places apart.
+def _neighbours(rule: Forest, reach: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The best pair (a, b, value) of each row of a sorted range, of rows at most ``reach`` places apart.
 
-    Pairs within a component, of sizes too different, or of sketches too different are left out.
-    Each row gives its pairs of the given ``ranks``, best agreement first. A range may end inside a
-    region; the pairs across that cut are left to the other trees.
+    Pairs within a component or of sketches too different are left out; pairs of sizes too different
+    have value -1, and so have the first and the last row of a range with themselves, as a region may
+    go on in the next range.
     """
     tail: pa.Table | None = None
     for batch in batches:
         rows = pa.Table.from_batches([batch])
+        if tail is None and len(rows):
+            yield _alone(rows.column("node")[0].as_py())
         if tail is not None:
             rows = pa.concat_tables([tail, rows])
         old = 0 if tail is None else len(tail)
+        if not len(rows):
+            continue
         tail = rows.slice(max(0, len(rows) - reach))
         rows = rows.combine_chunks()
         n = len(rows)
-        if n < 2:
-            continue
         tree, node, root, size = (rows.column(c).to_numpy() for c in ("tree", "node", "root", "n"))
         labels = np.frombuffer(b"".join(rows.column("label").to_pylist()), ">u4").reshape(n, rule.depth).astype(np.uint32)
         sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(n, -1)
         found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        many, i = 0, np.arange(n)
+        i = np.arange(n)
         for j in range(1, min(reach, n - 1) + 1):
             # Rows are sorted: where a region ends before the j-th place, it does so for every later one.
             i = i[i < n - j]
@@ -152,7 +155,6 @@ def _neighbours(rule: Forest, reach: int, ranks: tuple[int, int], batches: Itera
             if not len(i):
                 break
             k = i[(i + j >= old) & (root[i] != root[i + j])]
-            k = k[100 * np.minimum(size[k], size[k + j]) >= rule.percent * np.maximum(size[k], size[k + j])]
             agree = (sketches[k] == sketches[k + j]).sum(axis=1)
             if sketches.shape[1]:
                 good = agree >= rule.least_agreement * rule.values
@@ -160,29 +162,107 @@ def _neighbours(rule: Forest, reach: int, ranks: tuple[int, int], batches: Itera
             if not len(k):
                 continue
             shared = np.cumprod(labels[k] == labels[k + j], axis=1).sum(axis=1)
-            value = agree * (rule.depth + 1) + shared
+            value = np.where(_sizes_fit(rule, size[k], size[k + j]), agree * (rule.depth + 1) + shared, -1)
             found += [(k, k + j, value), (k + j, k, value)]
-            many += 2 * len(k)
-            if many > 2_000_000:
-                found = [_best(found, 0, ranks[1])]
-                many = len(found[0][0])
         if found:
-            here, there, value = _best(found, *ranks)
+            here, there, value, _ = _best(found, 1)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(node[here]), pa.array(node[there]), pa.array(value.astype(np.int32))], ["a", "b", "value"]
             )
+    if tail is not None:
+        yield _alone(tail.column("node")[-1].as_py())
+
+
+def _alone(node: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([node], pa.int64()), pa.array([node], pa.int64()), pa.array([-1], pa.int32())], ["a", "b", "value"])
+
 
+def _sizes_fit(rule: Forest, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return 100 * np.minimum(x, y) >= rule.percent * np.maximum(x, y)
 
-def _best(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], first: int, last: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each row its pairs from the ``first`` best to before the ``last``."""
+
+def _regions(rule: Forest, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per tree: region (a hash of the tree and the leading values), node, root, n_shingles and sketch."""
+    for batch in _labels(rule, True, batches):
+        labels = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u4").reshape(len(batch), rule.depth).astype(np.uint64)
+        region = mix(batch.column(0).to_numpy().astype(np.uint64))
+        for k in range(rule.shallow):
+            region = mix(region * np.uint64(3) + labels[:, k])
+        yield pa.RecordBatch.from_arrays([pa.array(region.view(np.int64)), *batch.columns[2:]], ["region", "node", "root", "n", "sketch"])
+
+
+def _meetings(rule: Forest, last: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b, more) of rows of one block that are in different components, near enough in size and sketch.
+
+    Rows come sorted by block and root. Each row gives its ``last`` best pairs; ``more`` tells that it
+    had others. A pair that is left out was one too many for both of its rows.
+    """
+    held: pa.Table | None = None
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None:
+            held = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+        if held is None or not len(held):
+            continue
+        region, pair = held.column("region").to_numpy(), held.column("pair").to_numpy()
+        # The last block may go on in the next batch.
+        ends = len(held)
+        if batch is not None:
+            other = np.flatnonzero((region != region[-1]) | (pair != pair[-1]))
+            ends = int(other[-1]) + 1 if len(other) else 0
+        rows, held = held.slice(0, ends).combine_chunks(), held.slice(ends)
+        if ends:
+            yield from _met(rule, last, rows)
+
+
+def _met(rule: Forest, last: int, rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """The pairs of whole blocks."""
+    region, pair, side, node, root, size = (rows.column(c).to_numpy() for c in ("region", "pair", "side", "node", "root", "n"))
+    sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(rows), rule.values)
+
+    def ends(fresh: np.ndarray) -> np.ndarray:
+        """For each row, where its run ends."""
+        starts = np.flatnonzero(np.concatenate([[True], fresh, [True]]))
+        return np.repeat(starts[1:], np.diff(starts))
+
+    new_block = (region[1:] != region[:-1]) | (pair[1:] != pair[:-1])
+    block_end, root_end = ends(new_block), ends(new_block | (root[1:] != root[:-1]))
+    partners = block_end - root_end
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    many = 0
+    some = np.flatnonzero(partners)
+    # About 200,000 pairs at a time.
+    cuts = np.searchsorted(np.cumsum(partners[some]), np.arange(200_000, partners.sum() + 200_000, 200_000))
+    for i in np.split(some, np.unique(cuts[cuts < len(some)])):
+        here = np.repeat(i, partners[i])
+        there = np.arange(len(here)) - np.repeat(np.cumsum(partners[i]) - partners[i], partners[i]) + np.repeat(root_end[i], partners[i])
+        good = _sizes_fit(rule, size[here], size[there]) & ((side[here] < 0) | (side[here] != side[there]))
+        here, there = here[good], there[good]
+        value = (sketches[here] == sketches[there]).sum(axis=1)
+        good = value >= rule.least_agreement * rule.values
+        here, there, value = here[good], there[good], value[good]
+        found += [(here, there, value), (there, here, value)]
+        many += 2 * len(here)
+        if many > 1_000_000:
+            yield _ranked(found, last, node)
+            found, many = [], 0
+    if many:
+        yield _ranked(found, last, node)
+
+
+def _ranked(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], last: int, node: np.ndarray) -> pa.RecordBatch:
+    here, there, _, more = _best(found, last)
+    return pa.RecordBatch.from_arrays([pa.array(node[here]), pa.array(node[there]), pa.array(more)], ["a", "b", "more"])
+
+
+def _best(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], last: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each row its ``last`` best pairs, and whether it has others."""
     here, there, value = (np.concatenate(x) for x in zip(*found, strict=True))
     by = np.lexsort((there, -value, here))
     here, there, value = here[by], there[by], value[by]
-    fresh = np.ones(len(here), bool)
-    fresh[1:] = here[1:] != here[:-1]
-    rank = np.arange(len(here)) - np.maximum.accumulate(np.where(fresh, np.arange(len(here)), 0))
-    keep = (rank >= first) & (rank < last)
-    return here[keep], there[keep], value[keep]
+    starts = np.flatnonzero(np.concatenate([[True], here[1:] != here[:-1]]))
+    sizes = np.diff(np.concatenate([starts, [len(here)]]))
+    keep = np.arange(len(here)) - np.repeat(starts, sizes) < last
+    return here[keep], there[keep], value[keep], np.repeat(sizes > last, sizes)[keep]
 
 
 def _confirm(rule: Forest, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,24 +303,27 @@ def linked(docs: DataFrame, rule: Forest = Forest()) -> tuple[DataFrame, DataFra
     roots, done, texts = None, None, None
     active, ranges = nodes, max(1, -(-nodes.rows * rule.trees // rule.range_rows))
     nodes = nodes.df
-    ranks = (0, 1)
-    for turn in range(rule.max_rounds):
+    for turn in itertools.count():
         # First the nearest neighbour of each class, then its best ones in other components: one of
-        # those near, then more and more of all in the region, until a round confirms nothing new.
+        # those near, then more and more of all in the region, until no class has others.
         given = active.df.select("node", F.col("node").alias("root"), "n", "signature")
         if roots is not None:
             given = active.df.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "n", "signature")
-        near = store(_candidates(given, rule, ranges, (1, rule.near, rule.reach)[min(turn, 2)], turn > 0, ranks), UNMEASURED)
-        some = near.df.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        if turn != 1:
-            # Only classes with a neighbour can be linked, now or later.
+        if turn < 2:
+            near = store(_candidates(given, rule, ranges, (1, rule.near)[turn], turn > 0), UNMEASURED)
+            pairs = near.df.where("value >= 0").groupBy("a").agg(F.max_by("b", F.struct("value", "b")).alias("b"))
+        else:
+            near = store(_all_candidates(given, rule, 4 ** (turn - 1)), UNMEASURED)
+            pairs = near.df
+        if turn == 0:
+            # Only classes that share a label with another can be linked, now or later.
+            some = near.df.select(F.explode(F.array("a", "b")).alias("node")).distinct()
             active = store(active.df.join(some, "node", "left_semi"), UNMEASURED)
             ranges = max(1, -(-active.rows * rule.trees // rule.range_rows))
-        if turn == 0:
             texts = store(_texts_of(docs, rows, active.df), UNMEASURED).df
-            pairs = near.df.groupBy("a").agg(F.max_by("b", F.struct("value", "b")).alias("b"))
-        else:
-            pairs = near.df
+        elif turn > 1:
+            # Both classes of a pair that was left out have more.
+            active = store(active.df.join(near.df.where("more").select(F.col("a").alias("node")).distinct(), "node", "left_semi"), UNMEASURED)
         tasks = 4 + near.rows // TASK_ROWS
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().coalesce(tasks)
         pairs = store(pairs if done is None else pairs.join(done, ["a", "b"], "left_anti").coalesce(tasks), UNMEASURED)
@@ -252,12 +335,8 @@ def linked(docs: DataFrame, rule: Forest = Forest()) -> tuple[DataFrame, DataFra
             new = store(full.mapInArrow(lambda batches: _confirm(rule, batches), "a long, b long"), UNMEASURED)
         if new is not None and new.rows:
             roots = store(_joined(new.df, roots), UNMEASURED).df
-        elif turn > 1:
+        if turn > 0 and not active.rows:
             break
-        if turn > 1:
-            ranks = (ranks[1], 4 * ranks[1])
-        elif turn == 1:
-            ranks = (0, 4)
     if roots is None:
         roots = nodes.select("node", F.col("node").alias("root"))
     both = nodes.select("node", "least").join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
@@ -279,11 +358,36 @@ def _joined(links: DataFrame, roots: DataFrame | None) -> DataFrame:
     return moved.unionAll(fresh)
 
 
-def _candidates(given: DataFrame, rule: Forest, ranges: int, reach: int, sketched: bool, ranks: tuple[int, int]) -> DataFrame:
+def _candidates(given: DataFrame, rule: Forest, ranges: int, reach: int, sketched: bool) -> DataFrame:
     """Pairs of near rows in any of the sorted orders of (node, root, n, signature)."""
     order = given.mapInArrow(lambda batches: _labels(rule, sketched, batches), _ORDERED)
-    order = order.repartitionByRange(ranges, "tree", "label", "node").sortWithinPartitions("tree", "label", "node")
-    return order.mapInArrow(lambda batches: _neighbours(rule, reach, ranks, batches), "a long, b long, value int")
+    # Equal labels are in another order in each tree.
+    order = order.withColumn("tie", F.xxhash64("tree", "node"))
+    order = order.repartitionByRange(ranges, "tree", "label", "tie").sortWithinPartitions("tree", "label", "tie")
+    return order.drop("tie").mapInArrow(lambda batches: _neighbours(rule, reach, batches), "a long, b long, value int")
+
+
+def _all_candidates(given: DataFrame, rule: Forest, last: int) -> DataFrame:
+    """For each of (node, root, n, signature) the ``last`` best of all that share leading values with it in a tree."""
+    order = given.mapInArrow(lambda batches: _regions(rule, batches), "region long, node long, root long, n long, sketch binary")
+    regions = order.groupBy("region").agg(F.count(F.lit(1)).alias("rows"), (F.min("root") != F.max("root")).alias("several"))
+    big = regions.where(F.col("rows") > rule.block_rows).withColumn("blocks", F.ceil(F.col("rows") / rule.block_rows))
+    big = store(big.select(F.col("region").alias("r"), "rows", F.when(F.col("several"), F.col("blocks")).otherwise(0).alias("blocks")), 24)
+    total = given.count() * rule.trees
+    if big.rows:
+        total += big.df.agg(F.sum((F.col("blocks") - 1) * F.col("rows"))).first()[0]
+        blocks = F.coalesce("blocks", F.lit(1)).cast("long")
+        cut = lookup(order, big.select("r", "blocks"), {"region": "r"}).select("region", "node", "root", "n", "sketch", blocks.alias("blocks"))
+        # A region of one component has no blocks.
+        cut = cut.where("blocks > 0").withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), F.col("blocks")))
+        cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        pair = F.least("part", "other") * (1 << 31) + F.greatest("part", "other")
+        side = F.when(F.col("part") == F.col("other"), -1).otherwise(F.col("part"))
+    else:
+        cut, pair, side = order, F.lit(0).cast("long"), F.lit(-1)
+    cut = cut.select("region", pair.alias("pair"), side.cast("long").alias("side"), "node", "root", "n", "sketch")
+    cut = cut.repartition(max(1, -(-total // rule.range_rows)), "region", "pair").sortWithinPartitions("region", "pair", "root")
+    return cut.mapInArrow(lambda batches: _meetings(rule, last, batches), "a long, b long, more boolean")
 
 
 def _texts_of(docs: DataFrame, rows: DataFrame, active: DataFrame) -> DataFrame:

@@ -66,6 +66,48 @@ def test_near_duplicates(docs_of, copies):
     assert len({v for v in want.values()}) < len(want) - 50
 
 
+def dense_family():
+    """Texts that are almost near enough to all others, and near enough to few."""
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(200)]
+    rows = []
+    for k in range(160):
+        words = list(base)
+        for at in rng.sample(range(200), 4):
+            words[at] = f"x{rng.randrange(10**9)}"
+        rows.append((k, " ".join(words), "en", "s"))
+    return rows
+
+
+@pytest.mark.parametrize("block_rows", [1024, 16])
+def test_near_duplicates_of_a_dense_family(docs_of, block_rows):
+    rows = dense_family()
+    want = brute_components(rows, 4, 80)
+    assert 20 < len(set(want.values())) < 155
+    got = neardup.near_duplicates(docs_of(rows), neardup.Forest(shingle=4, block_rows=block_rows))
+    assert {r.doc_id: r.component_id for r in got.collect()} == want
+
+
+def test_no_candidate_is_left_out_unnoticed():
+    import pyarrow as pa
+
+    rng, rule = np.random.default_rng(1), neardup.Forest()
+    n = 30
+    sketches = [rng.integers(0, 2, rule.values).astype(np.uint8) * (rng.random(rule.values) < 0.2) for _ in range(n)]
+    columns = {"region": [7] * n, "pair": [0] * n, "side": [-1] * n, "node": range(n), "root": range(n), "n": [100] * n}
+    rows = pa.table({k: pa.array(list(v), pa.int64()) for k, v in columns.items()} | {"sketch": pa.array([x.tobytes() for x in sketches])})
+    batches = rows.to_batches(max_chunksize=7)
+
+    def found(last):
+        made = list(neardup._meetings(rule, last, iter(batches)))
+        return {(min(p), max(p)) for b in made for p in zip(*b.to_pydict().values()) for p in [p[:2]]}, {a for b in made for a, _, more in zip(*b.to_pydict().values()) if more}
+
+    every, none = found(1000)
+    some, more = found(4)
+    assert len(every) == n * (n - 1) // 2 and not none and len(some) < len(every)
+    assert all(a in more and b in more for a, b in every - some)
+
+
 def test_keep_one(docs_of, copies):
     df = docs_of(copies)
     kept = neardup.keep_one(df)
