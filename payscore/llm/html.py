@@ -11,6 +11,9 @@ The trees are fitted on a bounded sample of at most about ``pages`` pages and ``
 whose markup says where the article is teach by it, and again with that markup rewritten in other
 common ways, so that the names of the given pages are not all that is learned.
 
+Raw text (scripts, styles, titles, text areas, frames) goes up to its end tag, as HTML says; other
+unseen elements end by their own end tag or with their parent, and a head where the body starts.
+
 Nulls: a null page is empty and has no text; repeated rows are read alike; a page without blocks
 has no text; markup cut off at the end is read as far as it goes. Without any page that teaches, the
 words of tags and classes decide alone. An empty table gives an empty result.
@@ -34,9 +37,11 @@ from payscore.llm.trees import Trees, fit_trees
 
 # Kinds of elements, and words that tell what a part of a page is for.
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
-UNSEEN = "script style noscript template head title iframe svg math canvas object select textarea button".split()
+RAW = "script style title textarea iframe".split()
+UNSEEN = "noscript template head svg canvas object select".split()
+IN_HEAD = "base link meta title style script noscript template".split()
 INLINE = (
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter q rp rt ruby s samp "
+    "a abbr acronym b bdi bdo big br button cite code data del dfn em font i img ins kbd label mark math meter q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr"
 ).split()
 CONTENT_TAGS = ["article", "main"]
@@ -54,7 +59,9 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTES = re.compile(r"(class|id|role|itemprop)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-_VOID, _UNSEEN, _INLINE = set(VOID), set(UNSEEN), set(INLINE)
+_VOID, _RAW, _UNSEEN, _IN_HEAD, _INLINE = set(VOID), set(RAW), set(UNSEEN), set(IN_HEAD), set(INLINE)
+#: The block of what is inside an element of UNSEEN.
+_HIDDEN = -2
 _CONTENT_WORDS, _OTHER_WORDS = set(CONTENT_WORDS), set(OTHER_WORDS)
 _TAG_GROUPS = [
     set(CONTENT_TAGS), set(OTHER_TAGS), {"p", "pre", "blockquote"}, {"h1", "h2", "h3", "h4", "h5", "h6"},
@@ -92,25 +99,41 @@ class Page:
             at = m.end()
             closing, tag, attributes, text = m.groups()
             if text is not None:
-                self.pieces.append((stack[-1][1], links > 0, html.unescape(text)))
+                if stack[-1] == ("head", _HIDDEN) and text.strip():
+                    stack.pop()
+                if stack[-1][1] != _HIDDEN:
+                    self.pieces.append((stack[-1][1], links > 0, html.unescape(text)))
                 continue
             if tag is None or not source.endswith(">", 0, at):
                 continue
             tag = tag.lower()
             if closing:
-                if tag not in _INLINE:
-                    self.pieces.append((-1, False, ""))
                 names = [t for t, _ in stack]
-                if tag in names[1:]:
+                known = tag in names[1:]
+                place = stack[len(names) - 1 - names[::-1].index(tag)] if known else stack[-1]
+                if tag not in _INLINE and place[1] != _HIDDEN:
+                    self.pieces.append((-1, False, ""))
+                if known:
                     while stack[-1][0] != tag:
                         links -= stack.pop()[0] == "a"
                     links -= stack.pop()[0] == "a"
                 continue
-            if tag in _UNSEEN:
+            if ("head", _HIDDEN) in stack and (tag == "body" or (stack[-1][0] == "head" and tag not in _IN_HEAD)):
+                # The end tag of a head may be missing.
+                while stack[-1] != ("head", _HIDDEN):
+                    links -= stack.pop()[0] == "a"
+                stack.pop()
+            if tag in _RAW:
                 if not attributes.endswith("/"):
                     ends = re.compile(rf"</{re.escape(tag)}[\s>]", re.I).search(source, at)
                     at = source.find(">", ends.start()) + 1 or end if ends else end
                 continue
+            if tag in _UNSEEN or stack[-1][1] == _HIDDEN:
+                # Ends by its own end tag, or with its parent.
+                if tag not in _VOID and not attributes.endswith("/"):
+                    links += tag == "a"
+                    stack.append((tag, _HIDDEN))
+                continue
             if tag in _INLINE:
                 if tag == "br":
                     self.pieces.append((stack[-1][1], False, " "))

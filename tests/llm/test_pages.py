@@ -43,6 +43,20 @@ def test_other_pages(spark):
     assert got[2] == got[3] == got[4] == got[5] == ""
 
 
+def test_missing_end_tags():
+    none = trees.Trees(np.zeros((0, 15), np.int64), np.zeros((0, 15)), np.zeros((0, 16)), 0.0)
+    page = "<html><head><meta charset=x><title>T</title><body><article><p>One two three.</p>{}</article></body></html>"
+    inside = {
+        "<p>End.</p>": "End.", "<div><svg><g>no</div><p>End.</p>": "End.", "<div><noscript><p>no</div><p>End.</p>": "End.",
+        "<div><select><option>no<option>no</div><p>End.</p>": "End.", "<div><object><object>no</object>no</object>End.</div>": "End.",
+        "<p>A <button>b</button> <math><mi>x</mi></math></p><p>End.": "A b\nx\nEnd.", "<p>A <svg><text>no</text></svg> End.</p>": "A End.",
+    }
+    for source, want in inside.items():
+        assert html.texts_of(none, [page.format(source)]) == ["One two three.\n" + want]
+        assert html.texts_of(none, [page.format(source).replace("<body>", "</head><body>")]) == ["One two three.\n" + want]
+    assert html.texts_of(none, ["<head><title>T</title><article><p>One two.</p></article>"]) == ["One two."]
+
+
 def test_states_never_contradict():
     rng = np.random.default_rng(1)
     source = "<body>" + "".join(f"<div><p>text {k}<section><ul><li>x<li>y</ul></section></div>" for k in range(20)) + "</body>"
