@@ -7,8 +7,9 @@ information: ``1 - log(df(t) / n(e, t)) / log(N / n(e))`` with counts over all d
 the term identifies the entity; 0 means it tells nothing. Terms from ``generalise_from`` on are
 replaced by their class, from ``remove_from`` on they are removed, in every document.
 
-Evidence for a pair is the number of different surroundings it was seen in, so that copies of one
-document say no more than the document itself.
+Evidence for a pair is the number of different texts and surroundings it was seen in, so that equal
+copies of one document say no more than the document itself, and a line that many documents end with
+counts for each of them.
 
 Nulls: a null text is empty and has no spans. A null id is an id like any other, and rows with equal
 ids share the terms found in either. An empty table gives an empty result.
@@ -110,17 +111,21 @@ def _terms(text: Column) -> Column:
 def _near(rows: DataFrame, rule: Disclosure) -> DataFrame:
     """(id, entity, context, term) for the terms around each entity, in its line."""
     chars = 24 * rule.reach
-    seen = rows.withColumn("s", F.explode("_base"))
+    seen = rows.withColumn("_whole", F.xxhash64("_text")).withColumn("s", F.explode("_base"))
     start, end = F.col("s.start"), F.col("s.end")
     from_ = F.greatest(start - chars, F.lit(0))
-    before = F.substring_index(F.substring(F.col("_text"), from_ + 1, start - from_), "\n", -1)
-    after = F.substring_index(F.substring(F.col("_text"), end + 1, F.lit(chars)), "\n", 1)
-    left = _terms(F.regexp_replace(before, r"^\S*\s", ""))
-    right = _terms(F.regexp_replace(after, r"\s\S*$", ""))
+    left_side = F.substring(F.col("_text"), from_ + 1, start - from_)
+    right_side = F.substring(F.col("_text"), end + 1, F.lit(chars))
+    # A word is broken only if the limit falls inside it, in the entity's line.
+    broken_left = F.rlike(F.substring(F.col("_text"), from_, F.lit(1)), F.lit(r"\p{L}")) & (from_ > 0) & ~F.contains(left_side, F.lit("\n"))
+    broken_right = F.rlike(F.substring(F.col("_text"), end + chars + 1, F.lit(1)), F.lit(r"\p{L}")) & ~F.contains(right_side, F.lit("\n"))
+    before, after = F.substring_index(left_side, "\n", -1), F.substring_index(right_side, "\n", 1)
+    left = _terms(F.when(broken_left, F.regexp_replace(before, r"^\p{L}+", "")).otherwise(before))
+    right = _terms(F.when(broken_right, F.regexp_replace(after, r"\p{L}+$", "")).otherwise(after))
     words = F.concat(F.slice(F.reverse(left), 1, rule.reach), F.slice(right, 1, rule.reach))
     value = F.when(F.col("s.kind") == 0, F.lower("s.value")).otherwise(F.regexp_replace("s.value", "[^0-9.]", ""))
     entity = F.sha2(F.concat_ws(":", F.col("s.kind"), value), 256)
-    return seen.select("_id", entity.alias("entity"), F.xxhash64(words).alias("context"), F.explode(F.array_distinct(words)).alias("term"))
+    return seen.select("_id", entity.alias("entity"), F.xxhash64("_whole", words).alias("context"), F.explode(F.array_distinct(words)).alias("term"))
 
 
 def disclosing_terms(docs: DataFrame, rule: Disclosure = Disclosure()) -> Stored:

@@ -108,6 +108,16 @@ def test_disclosing_terms(docs_of):
     assert "Zaphod" not in texts[0] + texts[200] and "[EMAIL]" in texts[0] and texts[101] == rows[7][1]
 
 
+def test_disclosing_terms_at_borders_and_in_signatures(docs_of):
+    rows = [(i, f"Own text number {i} {w}\nZephyr jane@x.org") for i, w in enumerate(["one", "two", "three", "four"])]
+    rows += [(10 + i, f"Other {w}\njim@y.org Miller") for i, w in enumerate(["one", "two", "three", "four"])]
+    rows += [(20 + i, "Mail copy@copy.org to Trillian") for i in range(4)]
+    rows += [(100 + i, f"filler about nothing {i}") for i in range(60)] + [(200, "I saw Zephyr and Miller and Trillian")]
+    spans = {r.doc_id: r.spans for r in privacy.find(docs_of(rows)).collect()}
+    assert spans[200] == "term:6:12,term:17:23"
+    assert "term" not in spans[20]
+
+
 def test_mixing(spark, docs_of, sample):
     df = docs_of(sample)
     got = mixing.mix(df).collect()
