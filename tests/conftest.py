@@ -33,8 +33,3 @@ def shuffled(monkeypatch):
 
     monkeypatch.setattr(shared, "BROADCAST_BYTES", -1)
     monkeypatch.setattr(shared, "SALTS", 5)
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples."""
-    return sorted((tuple(r) for r in (df.select(*columns) if columns else df).collect()), key=str)

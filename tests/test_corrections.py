@@ -1,7 +1,7 @@
 """Inputs off the friendly path: unseen values, unequal key types, gaps in months, too many codes."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from payscore import fixtures as fx

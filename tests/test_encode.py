@@ -1,7 +1,7 @@
 """Catalog, portraits, slots, dictionaries."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from payscore.operators import catalog, encode

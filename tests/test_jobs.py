@@ -1,7 +1,7 @@
 """The jobs end to end, and what their plans look like."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from payscore import fixtures as fx

@@ -1,7 +1,7 @@
 """Staging, sinks, joins under skew, deduplication, frequency."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from payscore import shared
