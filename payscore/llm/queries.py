@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payscore.llm import chat, decontaminate, html, language, mixing, neardup, privacy, quality, substrings, toxicity
+from payscore.llm import chat, decontaminate, divergence, html, language, mixing, neardup, privacy, quality, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": chat.op1_chat,
@@ -19,9 +19,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": quality.op8_quality,
     "op9_privacy": privacy.op9_privacy,
     "op10_html": html.op10_html,
+    "op11_divergence": divergence.op11_divergence,
 }
 
 ORACLE: dict[str, str] = {
     "op7_mixing": mixing.OP7_SQL,
     "op8_quality": quality.OP8_SQL,
+    "op11_divergence": divergence.OP11_SQL,
 }
