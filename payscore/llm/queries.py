@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from payscore.llm import chat, decontaminate, divergence, html, language, mixing, neardup, privacy, quality, substrings, toxicity
+from payscore.llm import chat, decontaminate, divergence, html, language, mixing, neardup, privacy, quality, search, substrings, toxicity, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": chat.op1_chat,
@@ -20,10 +20,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_privacy": privacy.op9_privacy,
     "op10_html": html.op10_html,
     "op11_divergence": divergence.op11_divergence,
+    "op12_whitening": whitening.op12_whitening,
+    "op13_search": search.op13_search,
 }
 
 ORACLE: dict[str, str] = {
     "op7_mixing": mixing.OP7_SQL,
     "op8_quality": quality.OP8_SQL,
     "op11_divergence": divergence.OP11_SQL,
+    "op13_search": search.OP13_SQL,
 }
