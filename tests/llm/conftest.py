@@ -1,6 +1,12 @@
 import datetime as dt
 
 import pytest
+from pyspark import cloudpickle
+
+import payscore.llm
+
+# As the driver file does; what a test sets in a module then holds in tasks too.
+cloudpickle.register_pickle_by_value(payscore.llm)
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size int, kept string, _row string, _text string, when date"
 
