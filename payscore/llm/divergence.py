@@ -42,7 +42,7 @@ EXTRA = 1
 
 #: Distinct terms a task counts before it hands them on, bytes of a text it splits at a time, rows it holds
 #: for a skyband, and pairs of sources it works on at a time.
-HELD, PIECE, BUFFER, PAIRS = 300_000, 1 << 20, 100_000, 1 << 20
+HELD, PIECE, BUFFER, PAIRS = 600_000, 1 << 20, 1 << 19, 1 << 20
 #: Parts of a group whose skybands are merged before those of the whole group.
 PARTS = 16
 
@@ -52,50 +52,48 @@ _FOLD = bytes(
 )
 
 
-def _terms(text: bytes) -> Counter:
-    """Counts of a text's terms; a long text is split piece by piece."""
-    folded, start, out = text.translate(_FOLD), 0, Counter()
+def _pieces(text: bytes) -> Iterator[list[bytes]]:
+    """A text's terms, a long text's piece by piece."""
+    folded, start = text.translate(_FOLD), 0
     while start < len(folded):
         end = len(folded) if start + PIECE >= len(folded) else folded.find(b" ", start + PIECE)
         end = len(folded) if end < 0 else end
-        out.update(folded[start:end].split())
+        yield folded[start:end].split()
         start = end
-    return out
 
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Summed counts and documents per (lang, source, term), handed on whenever enough are held."""
 
-    def handed_on() -> pa.RecordBatch:
-        rows = [(*group, term, n, docs) for group, terms in held.items() for term, (n, docs) in terms.items()]
-        lang, source, term, n, docs = zip(*rows)
-        text = pa.array(term, pa.binary()).cast(pa.string())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(lang, pa.string()), pa.array(source, pa.string()), text, pa.array(n, pa.int64()), pa.array(docs, pa.int64())],
-            ["lang", "source", "term", "cnt", "docs"],
-        )
-
-    held: dict[tuple[str, str], dict[bytes, list[int]]] = {}
+    def handed_on() -> Iterator[pa.RecordBatch]:
+        for (lang, source), (counts, docs) in held.items():
+            term = pa.array(list(counts), pa.binary()).cast(pa.string())
+            arrays = [
+                pa.repeat(lang, len(counts)),
+                pa.repeat(source, len(counts)),
+                term,
+                pa.array(list(counts.values()), pa.int64()),
+                pa.array(list(map(docs.__getitem__, counts)), pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, ["lang", "source", "term", "cnt", "docs"])
+
+    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
     size = 0
     for batch in batches:
         langs, sources, texts = batch.columns
         for i in range(batch.num_rows):
-            counts = _terms(texts[i].as_py())
-            group = held.setdefault((langs[i].as_py(), sources[i].as_py()), {})
-            size -= len(group)
-            for term, n in counts.items():
-                have = group.get(term)
-                if have is None:
-                    group[term] = [n, 1]
-                else:
-                    have[0] += n
-                    have[1] += 1
-            size += len(group)
+            counts, docs = held.setdefault((langs[i].as_py(), sources[i].as_py()), (Counter(), Counter()))
+            size -= len(counts)
+            different: set[bytes] = set()
+            for terms in _pieces(texts[i].as_py()):
+                counts.update(terms)
+                different.update(terms)
+            docs.update(different)
+            size += len(counts)
             if size >= HELD:
-                yield handed_on()
+                yield from handed_on()
                 held, size = {}, 0
-    if size:
-        yield handed_on()
+    yield from handed_on()
 
 
 def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> Stored:

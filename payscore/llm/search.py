@@ -12,7 +12,7 @@ the k-th best score of each round as limit of the next, so a round adds a bounde
 whatever the number of blocks.
 
 Nulls: rows without a vector, or with a null or non-finite component, take no part. A row without ``vec_id`` is
-no query, and comes after all others on ties. Vectors of different lengths count as filled up with zeros (an empty
+no query, and comes after all others on ties (the largest long stands for it). Vectors of different lengths count as filled up with zeros (an empty
 one scores 0 with all). Rows with equal ids are different rows: each asks for itself, and a row is excluded from
 its own answer only. Ties go to the smaller ``vec_id``. Scores beyond a long count as the largest or smallest one.
 An empty table, or one without queries, gives no rows.
