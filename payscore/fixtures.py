@@ -95,3 +95,14 @@ def wide_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     rest = {c: copies.get(c, F.lit("")) for c in TRANSACTION_COLUMNS if c not in df.columns}
     return df.withColumns(rest).select(*TRANSACTION_COLUMNS, "year_id", "month_id")
+
+
+# A later batch has dates that are missing and a bank that is new, as text both engines run.
+LATER_SQL = {
+    "plnmio_date": "CASE WHEN cast(mios_trans_code AS bigint) % 601 = 0 THEN NULL ELSE plnmio_date END",
+    "bank_code": "CASE WHEN cast(mios_trans_code AS bigint) % 199 = 0 THEN 'NEW BANK' ELSE bank_code END",
+}
+
+
+def later_batch(transactions: DataFrame) -> DataFrame:
+    return transactions.withColumns({c: F.expr(e) for c, e in LATER_SQL.items()})

@@ -11,19 +11,22 @@ from pyspark.sql import functions as F
 
 from payscore.functions import label_column, percent_text
 from payscore.operators.bayes import MAX_MODELS, Model
+from payscore.operators.bisect import ClusterTree, assign_tree, fit_tree
 from payscore.operators.boost import boost_score, fit_boost
 from payscore.operators.catalog import build_catalog, extend_catalog
-from payscore.operators.cluster import assign_clusters, assign_nearest, fit_clusters
+from payscore.operators.cluster import assign_clusters, assign_nearest
 from payscore.operators.dedup import dedup_month, dedup_year
 from payscore.operators.derive import derive_customers
-from payscore.operators.encode import build_dictionary, index_slots, portrait, slot_entries
+from payscore.operators.encode import build_dictionary, encode_with_dictionary, index_slots, portrait, slot_entries
 from payscore.operators.ensemble import Ensemble, build_ensemble, ensemble_score, month_weights
 from payscore.operators.evaluate import evaluate, split_by_key
 from payscore.operators.frequency import attach_frequency
+from payscore.operators.models import load_ensemble, load_model, save_ensemble, save_model
 from payscore.operators.report import decode_features, display_columns
 from payscore.shared import Stored, store
 from payscore.sources.config import Feature, Range
-from payscore.sources.staging import TRANSACTION_COLUMNS, read_month, read_year, stage_month, stage_year
+from payscore.sources.sinks import overwrite_partition, write_table
+from payscore.sources.staging import TRANSACTION_COLUMNS, attach_months, read_month, read_year, stage_month, stage_year
 
 KEY = ("trans_code", "trans_bat_no")
 
@@ -41,12 +44,26 @@ def load(spark: SparkSession, root: str, year: int, month: int | None = None) ->
     return stage_month(read_month(spark, root, year, month), year, month, TRANSACTION_COLUMNS)
 
 
+def load_source(
+    spark: SparkSession,
+    raw: str,
+    root: str,
+    year: int,
+    month: int | None = None,
+    columns: Sequence[str] = TRANSACTION_COLUMNS,
+) -> DataFrame:
+    """Publish the raw files of one month, or of all months of a year, unless they are there; then stage them."""
+    attach_months(spark, raw, root, year, range(1, 13) if month is None else [month], columns)
+    if month is None:
+        return stage_year(read_year(spark, root, year), year, columns)
+    return stage_month(read_month(spark, root, year, month), year, month, columns)
+
+
 def customer_features(
     transactions: DataFrame,
     ranges: Sequence[Range],
     as_of_year: int,
-    clusters: BisectingKMeansModel | Sequence[Sequence[float]] | int,
-    seed: int = 42,
+    clusters: ClusterTree | BisectingKMeansModel | Sequence[Sequence[float]] | int,
     keys: Sequence[str] | None = None,
 ) -> DataFrame:
     """Customer attributes, cluster and frequency of each transaction.
@@ -55,8 +72,10 @@ def customer_features(
     """
     df = derive_customers(transactions, ranges, as_of_year)
     if isinstance(clusters, int):
-        clusters = fit_clusters(df, clusters, seed=seed)
-    if isinstance(clusters, BisectingKMeansModel):
+        clusters = fit_tree(df, clusters)
+    if isinstance(clusters, ClusterTree):
+        df = assign_tree(df, clusters)
+    elif isinstance(clusters, BisectingKMeansModel):
         df = assign_clusters(df, clusters)
     else:
         df = assign_nearest(df, clusters)
@@ -160,13 +179,28 @@ def month_models(
 
 
 def score_month(
-    customers: DataFrame, codes: Stored, features: Sequence[Feature], model: Model, label_mode: int = 0
+    customers: DataFrame,
+    codes: Stored,
+    features: Sequence[Feature],
+    model: Model,
+    label_mode: int = 0,
+    dictionary: DataFrame | None = None,
 ) -> Outcome:
-    """Predict every row, without deduplication. Never writes the model."""
+    """Predict every row, without deduplication. Never writes the model.
+
+    With a saved ``dictionary`` the results also have ``active``, the row's places in the one-hot vector.
+    """
     use = model_features(features, "month")
-    scored = boost_score(_coded(customers, codes, use, label_mode), model, slots=[f.pcode for f in use])
-    results, metrics = _finish(scored, [*customers.columns, "features"], F.col("confidence"), F.lit(True))
-    return Outcome(results, metrics, model)
+    rows, more = _encoded(_coded(customers, codes, use, label_mode), dictionary, [f.pcode for f in use])
+    scored = boost_score(rows, model, slots=[f.pcode for f in use])
+    results, metrics = _finish(scored, [*customers.columns, "features", *more], F.col("confidence"), F.lit(True))
+    return Outcome(results, metrics, model, dictionary)
+
+
+def _encoded(rows: DataFrame, dictionary: DataFrame | None, slots: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    if dictionary is None:
+        return rows, []
+    return encode_with_dictionary(rows, dictionary, slots), ["active"]
 
 
 def train_year(
@@ -184,10 +218,15 @@ def train_year(
 
 
 def score_year(
-    customers: DataFrame, codes: Stored, features: Sequence[Feature], ensemble: Ensemble, label_mode: int = 0
+    customers: DataFrame,
+    codes: Stored,
+    features: Sequence[Feature],
+    ensemble: Ensemble,
+    label_mode: int = 0,
+    dictionary: DataFrame | None = None,
 ) -> Outcome:
-    """Predict the deduplicated rows of a year."""
-    return _year(customers, codes, features, ensemble, label_mode, test_only=False)
+    """Predict the deduplicated rows of a year; ``dictionary`` as for :func:`score_month`."""
+    return _year(customers, codes, features, ensemble, label_mode, test_only=False, dictionary=dictionary)
 
 
 def _year(
@@ -197,15 +236,18 @@ def _year(
     ensemble: Ensemble,
     label_mode: int,
     test_only: bool,
+    dictionary: DataFrame | None = None,
 ) -> Outcome:
     use = model_features(features, "year")
     slots = [f.pcode for f in use]
     rows = store(split_by_key(_coded(dedup_year(customers), codes, use, label_mode), *KEY)).df
     here = F.col("part") == "test" if test_only else F.lit(True)
-    dictionary = build_dictionary(index_slots(rows, slots)) if test_only else None
-    scored = ensemble_score(rows, ensemble, slots=slots)
+    encoded, more = _encoded(rows, dictionary, slots)
+    if test_only:
+        dictionary = build_dictionary(index_slots(rows, slots))
+    scored = ensemble_score(encoded, ensemble, slots=slots)
     results, metrics = _finish(
-        scored, [*customers.columns, "features"], percent_text(F.col("confidence")), here
+        scored, [*customers.columns, "features", *more], percent_text(F.col("confidence")), here
     )
     return Outcome(results, metrics, ensemble, dictionary)
 
@@ -214,3 +256,56 @@ def display(results: DataFrame, codes: Stored, year: int, month: int) -> DataFra
     """The display table's rows for one partition: chosen columns and the features as text."""
     shown = decode_features(display_columns(results), codes)
     return shown.withColumns({"year_id": F.lit(year), "month_id": F.lit(month)})
+
+
+def publish_display(results: DataFrame, codes: Stored, root: str, year: int, month: int) -> None:
+    """Replace one partition of the display table at ``root``; the others stay."""
+    overwrite_partition(display(results, codes, year, month), root)
+
+
+@dataclass
+class Saved:
+    """What a training run leaves for later ones: catalog, dictionary, metrics and the model."""
+
+    codes: Stored
+    dictionary: DataFrame
+    metrics: DataFrame
+    model: Model | Ensemble
+
+
+def save_outcome(spark: SparkSession, outcome: Outcome, codes: Stored, path: str) -> None:
+    """Replace ``path`` by the tables of a month's or a year's training."""
+    if outcome.dictionary is None:
+        raise ValueError("only the outcome of a training can be saved")
+    write_table(codes.df, f"{path}/catalog")
+    write_table(outcome.dictionary, f"{path}/dictionary")
+    write_table(outcome.metrics, f"{path}/metrics")
+    if isinstance(outcome.model, Ensemble):
+        save_ensemble(spark, outcome.model, f"{path}/ensemble")
+    else:
+        save_model(spark, outcome.model, f"{path}/model")
+
+
+def load_saved(spark: SparkSession, path: str, year: bool = False) -> Saved:
+    """What :func:`save_outcome` wrote for a month, or with ``year`` for a year."""
+    codes, dictionary, metrics = (spark.read.parquet(f"{path}/{name}") for name in ("catalog", "dictionary", "metrics"))
+    model = load_ensemble(spark, f"{path}/ensemble") if year else load_model(spark, f"{path}/model")
+    return Saved(store(codes), dictionary, metrics, model)
+
+
+def score_batch(
+    customers: DataFrame,
+    saved: Saved,
+    features: Sequence[Feature],
+    ranges: Sequence[Range],
+    label_mode: int = 0,
+) -> tuple[Outcome, Stored]:
+    """Score rows that no training has seen with what an earlier run saved; the extended catalog as well.
+
+    Values the catalog lacks get codes after its last ones, so results can be shown; its own codes never
+    change. Codes that are new to the dictionary set no place of the vector, and those that are new to the model
+    add nothing to the score, in whatever slot they stand.
+    """
+    codes = catalog(customers, features, ranges, saved.codes.df)
+    score = score_year if isinstance(saved.model, Ensemble) else score_month
+    return score(customers, codes, features, saved.model, label_mode, saved.dictionary), codes

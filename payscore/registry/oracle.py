@@ -362,6 +362,64 @@ DIST = "[" + ", ".join(
 ) + "] AS dist"
 STAGED = "mios_trans_code, trans_code, trans_bat_no, trans_stat, bankacc_id_no, trans_amnt"
 
+POINT = ("acc_cust_amntrang", "acc_cust_sex", "acc_cust_agerang", "acc_cust_dayrang")
+XS = [f"x{d}" for d in range(len(POINT))]
+
+
+def bisected(source: str, where: str = "TRUE", updates: int = 20) -> list[str]:
+    """leaves(node, side centers) of a clustering of 4: two levels of splits, each refined ``updates`` times.
+
+    places(id, cluster) has the cluster of every row of ``source``.
+    """
+    coords = ", ".join(f"coalesce(try_cast({c} AS DOUBLE), 0) AS {x}" for c, x in zip(POINT, XS))
+    both = ", ".join(f"sum(cnt * {x}) / sum(cnt) AS {x}" for x in XS)
+
+    def distance(side: str) -> str:
+        return " + ".join(f"(p.{x} - {side}.{x}) * (p.{x} - {side}.{x})" for x in XS)
+
+    def nearer(points: str, centers: str) -> str:
+        return (
+            f"SELECT p.*, CASE WHEN {distance('l')} <= {distance('r')} THEN 'L' ELSE 'R' END AS side FROM {points} p "
+            f"JOIN {centers} l ON l.node = p.node AND l.side = 'L' JOIN {centers} r ON r.node = p.node AND r.side = 'R'"
+        )
+
+    out = [
+        f"at_all AS MATERIALIZED (SELECT mios_trans_code AS id, {coords}, '' AS node FROM {source})",
+        f"p0 AS MATERIALIZED (SELECT {', '.join(XS)}, '' AS node, count(*) AS cnt FROM (SELECT {coords} FROM {source} WHERE {where}) GROUP BY ALL)",
+    ]
+    points = "at_all"
+    for level in (0, 1):
+        spread = ", ".join(f"sum(cnt) * sum(cnt * {x} * {x}) - sum(cnt * {x}) * sum(cnt * {x}) AS v{d}" for d, x in enumerate(XS))
+        first = " ".join(
+            f"WHEN {' AND '.join(f'v{d} >= v{e}' for e in range(len(XS)))} THEN p.{x} <= w.{x}" for d, x in enumerate(XS)
+        )
+        out += [
+            f"w{level} AS MATERIALIZED (SELECT node, {both}, {spread} FROM p{level} GROUP BY node)",
+            f"c{level}_0 AS MATERIALIZED (SELECT node, side, {both} FROM (SELECT p.*, CASE WHEN CASE {first} END THEN 'L' "
+            f"ELSE 'R' END AS side FROM p{level} p JOIN w{level} w ON w.node = p.node) GROUP BY node, side)",
+        ]
+        for i in range(updates):
+            out.append(
+                f"c{level}_{i + 1} AS MATERIALIZED (SELECT node, side, {both} FROM ({nearer(f'p{level}', f'c{level}_{i}')}) "
+                "GROUP BY node, side)"
+            )
+        ends, last = f"c{level}_{updates}", level + 1
+        columns = ", ".join(XS)
+        out += [
+            f"p{last} AS MATERIALIZED (SELECT {columns}, node || side AS node, cnt FROM ({nearer(f'p{level}', ends)}))",
+            f"at{last} AS MATERIALIZED (SELECT id, {columns}, node || side AS node FROM ({nearer(points, ends)}))",
+        ]
+        points = f"at{last}"
+    number = "CASE node WHEN 'LL' THEN '0' WHEN 'LR' THEN '1' WHEN 'RL' THEN '2' ELSE '3' END"
+    out += [
+        f"places AS MATERIALIZED (SELECT id, {number} AS cluster FROM at2)",
+        f"leaves AS MATERIALIZED (SELECT cluster, sum(p.cnt)::BIGINT AS n_rows, sum(p.cnt * ({distance('c')})) AS cost, "
+        + ", ".join(f"any_value(c.{x}) AS {x}" for x in XS)
+        + f" FROM (SELECT *, {number} AS cluster FROM p2) p JOIN c1_{updates} c ON c.node || c.side = p.node GROUP BY cluster)",
+    ]
+    return out
+
+
 FREQ = (
     "freq AS MATERIALIZED (SELECT bankacc_id_type AS t, bankacc_id_no AS n, trans_stat AS s, count(*) AS kk_cnt FROM cust "
     "GROUP BY ALL)"
@@ -600,6 +658,16 @@ SELECT label, CASE WHEN r1 > r0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS predict
     out["cluster_assign"] = sql(BASE, f"SELECT mios_trans_code, {NEAREST} AS acc_cust_km FROM (SELECT *, {DIST} FROM cust)")
     out["cluster_report"] = sql(BASE, f"""SELECT {NEAREST} AS cluster, count(*) AS n_rows,
  round(sum(list_min(dist)), 6) AS cost FROM (SELECT *, {DIST} FROM cust) GROUP BY 1""")
+    out["cluster_train"] = sql(
+        [*BASE, *bisected("cust")],
+        "SELECT l.cluster, n_rows, n_assigned, round(cost, 6) AS cost, "
+        + ", ".join(f"round({x}, 6) AS center_{c}" for c, x in zip(POINT, XS))
+        + " FROM leaves l JOIN (SELECT cluster, count(*) AS n_assigned FROM places GROUP BY cluster) a ON a.cluster = l.cluster")
+    out["job_features_trained"] = sql(
+        [*BASE, FREQ, *bisected("cust", "year_id = 1996")],
+        """SELECT c.mios_trans_code, p.cluster AS acc_cust_km, f.kk_cnt, round(l.cost, 6) AS km_cost FROM cust c
+ JOIN places p ON p.id = c.mios_trans_code JOIN leaves l ON l.cluster = p.cluster
+ LEFT JOIN freq f ON f.t = c.bankacc_id_type AND f.n = c.bankacc_id_no AND f.s = c.trans_stat""")
     out["display"] = sql(BASE, f"SELECT {display_columns()} FROM cust")
     out["sinks_roundtrip"] = sql([*BASE, TERMS, rows(), *boosted(2), WINNER], """SELECT target, trans_stat, count(*) AS n_rows
  FROM (SELECT 'parts' AS target, CASE WHEN year_id = 1997 THEN '9' ELSE trans_stat END AS trans_stat FROM tx

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from payscore import fixtures as fx
 from payscore.functions import bucketize, date_parts, id_age, id_region, id_sex, label_column, softmax_shares
-from payscore.operators import bayes, boost, catalog, cluster, dedup, encode, ensemble, evaluate, frequency, models, report
+from payscore.operators import bayes, bisect, boost, catalog, cluster, dedup, encode, ensemble, evaluate, frequency, models, report
 from payscore.operators.derive import INSTANCE_TYPE, TIME_RANG, derive_customers
 from payscore.plans import jobs
 from payscore.shared import Stored, shared_dir, store
@@ -20,6 +20,10 @@ from payscore.sources import overwrite_partition, write_file, write_table
 
 SLOTS = encode.slot_names(4)
 MONTHS = [str(m) for m in range(1, 13)]
+# What the queries on later batches train with.
+TRAINING_MONTH = "year_id = 1996 AND month_id = 3"
+TRAINING_YEARS = "year_id <= 1995"
+METRICS = ["n_rows", "n_correct", "accuracy", "precision", "recall", "f1", "fpr", "area_under_roc", "area_under_pr"]
 STAGED = ["MIOS_TRANS_CODE", "TRANS_CODE", "TRANS_BAT_NO", "TRANS_STAT", "BANKACC_ID_NO", "TRANS_AMNT"]
 
 
@@ -115,6 +119,19 @@ def drop_header_lines_query(spark, sf):
     )
 
 
+def job_load(spark, sf):
+    """Raw months published once: one month, the same again after its raw files changed, then the whole year."""
+    folder = f"{shared_dir(spark)}/payscore-{uuid.uuid4().hex}"
+    raw, root = f"{folder}/raw/{{year}}/month={{month}}", f"{folder}/loaded"
+    rows = conform(fx.transactions(spark, sf).where("year_id = 1997"), [*STAGED, "MONTH_ID"]).withColumnRenamed("month_id", "month")
+    overwrite_partition(rows, f"{folder}/raw/1997", ("month",))
+    jobs.load_source(spark, raw, root, 1997, 5, STAGED)
+    overwrite_partition(rows.where("month = 5").withColumn("trans_stat", F.lit("9")), f"{folder}/raw/1997", ("month",))
+    month = jobs.load_source(spark, raw, root, 1997, 5, STAGED).withColumn("part", F.lit("month"))
+    year = jobs.load_source(spark, raw, root, 1997, None, STAGED).withColumn("part", F.lit("year"))
+    return month.unionByName(year)
+
+
 # Frequency and deduplication
 
 
@@ -372,8 +389,7 @@ def metrics(spark, sf):
     done = _predicted(spark, sf)
     both = [evaluate.evaluate(done, as_published=p).withColumn("as_published", F.lit(p)) for p in (False, True)]
     out = both[0].unionByName(both[1])
-    names = ["accuracy", "precision", "recall", "f1", "fpr", "area_under_roc", "area_under_pr"]
-    return out.select("as_published", "n_rows", "n_correct", *[r6(n) for n in names])
+    return out.select("as_published", *METRICS[:2], *[r6(n) for n in METRICS[2:]])
 
 
 def softmax_shares_query(spark, sf):
@@ -410,11 +426,15 @@ def cluster_report(spark, sf):
 
 
 def cluster_train(spark, sf):
+    """Train, save, load and assign; the report's rows must be those of the assignment."""
     df = customers(spark, sf)
     path = f"{shared_dir(spark)}/payscore-{uuid.uuid4().hex}"
-    cluster.fit_clusters(df, 4).write().overwrite().save(path)
-    done = cluster.assign_clusters(df, cluster.load_clusters(path))
-    return done.groupBy("acc_cust_km").agg(F.count(F.lit(1)).alias("n_rows"))
+    bisect.save_tree(spark, bisect.fit_tree(df, 4), path)
+    tree = bisect.load_tree(spark, path)
+    assigned = bisect.assign_tree(df, tree).groupBy("acc_cust_km").agg(F.count(F.lit(1)).alias("n_assigned"))
+    made = bisect.tree_report(spark, tree).join(assigned, F.col("cluster") == F.col("acc_cust_km"), "left")
+    centers = [F.round(F.get("center", F.lit(d)), 6).alias(f"center_{c}") for d, c in enumerate(tree.features)]
+    return made.select("cluster", "n_rows", "n_assigned", r6("cost"), *centers)
 
 
 def sinks_roundtrip(spark, sf):
@@ -457,6 +477,18 @@ def job_features(spark, sf):
     )
 
 
+def job_features_trained(spark, sf):
+    """The features with a clustering trained on one year, saved, and loaded by the job of all years."""
+    tx = fx.wide_transactions(spark, sf)
+    path = f"{shared_dir(spark)}/payscore-{uuid.uuid4().hex}"
+    year = derive_customers(stage_year(tx, 1996), fx.RANGES, fx.AS_OF_YEAR)
+    bisect.save_tree(spark, bisect.fit_tree(year, 4), path)
+    tree = bisect.load_tree(spark, path)
+    df = jobs.customer_features(tx, fx.RANGES, fx.AS_OF_YEAR, tree)
+    costs = bisect.tree_report(spark, tree).select(F.col("cluster").alias("acc_cust_km"), r6("cost", "km_cost"))
+    return df.join(F.broadcast(costs), "acc_cust_km", "left").select("mios_trans_code", "acc_cust_km", "kk_cnt", "km_cost")
+
+
 def _prepared(spark: SparkSession, sf: str) -> tuple[DataFrame, Stored]:
     df = store(_features(spark, sf)).df
     return df, catalog_of(spark, df)
@@ -466,12 +498,12 @@ def job_catalog(spark, sf):
     return _prepared(spark, sf)[1].df
 
 
-def _shown(results: DataFrame) -> DataFrame:
+def _shown(results: DataFrame, *more: Column) -> DataFrame:
     label, accuracy = F.col("train_label"), F.col("train_accuracy")
     if dict(results.dtypes)["train_accuracy"] == "string":
         # Two decimals of a percentage may fall on either side of a tie; compare the number.
         accuracy = F.regexp_replace(accuracy, "%", "").cast("double")
-    return results.select("mios_trans_code", "features", label, r6(accuracy, "train_accuracy"))
+    return results.select("mios_trans_code", "features", label, r6(accuracy, "train_accuracy"), *more)
 
 
 def job_train_month(spark, sf):
@@ -508,6 +540,89 @@ def job_display(spark, sf):
     return shown.withColumn("train_accuracy", F.round("train_accuracy", 6))
 
 
+def job_display_published(spark, sf):
+    """Two months of the display table, one of them replaced, read back."""
+    df, codes = _prepared(spark, sf)
+    root = f"{shared_dir(spark)}/payscore-{uuid.uuid4().hex}"
+    done = store(jobs.train_month(df, codes, fx.FEATURES, 2).results).df
+    jobs.publish_display(done.where("trans_stat = '1'"), codes, root, 2001, 7)
+    jobs.publish_display(done.where("trans_stat = '0'"), codes, root, 2001, 8)
+    jobs.publish_display(done, codes, root, 2001, 8)
+    return spark.read.parquet(root).withColumn("train_accuracy", F.round("train_accuracy", 6))
+
+
+def _batches(spark: SparkSession, sf: str, training: str) -> tuple[DataFrame, DataFrame]:
+    """The features of the transactions to train with, and of all others, some of which were changed."""
+    tx = fx.wide_transactions(spark, sf)
+    later = fx.later_batch(tx.where(f"NOT ({training})"))
+    first, others = (
+        store(jobs.customer_features(part, fx.RANGES, fx.AS_OF_YEAR, fx.CENTERS)).df for part in (tx.where(training), later)
+    )
+    return first, others
+
+
+def _scored_later(spark: SparkSession, path: str, batch: DataFrame, year: bool) -> DataFrame:
+    """Another session scores the batch with what the training left in ``path``."""
+    saved = jobs.load_saved(spark.newSession(), path, year)
+    results = jobs.score_batch(batch, saved, fx.FEATURES, fx.RANGES)[0].results
+    return _shown(results, F.array_join("active", ",").alias("active"))
+
+
+def score_unseen(spark, sf):
+    first, others = _batches(spark, sf, TRAINING_MONTH)
+    path = f"{shared_dir(spark)}/payscore-{uuid.uuid4().hex}"
+    codes = catalog_of(spark, first)
+    jobs.save_outcome(spark, jobs.train_month(first, codes, fx.FEATURES, 2), codes, path)
+    return _scored_later(spark, path, others, year=False)
+
+
+def _trained_year(df: DataFrame, codes: Stored) -> jobs.Outcome:
+    return jobs.train_year(df, codes, fx.FEATURES, _months(df, codes), MONTHS, fx.CURRENT_MONTH)
+
+
+def score_unseen_year(spark, sf):
+    first, others = _batches(spark, sf, TRAINING_YEARS)
+    path = f"{shared_dir(spark)}/payscore-{uuid.uuid4().hex}"
+    codes = catalog_of(spark, first)
+    jobs.save_outcome(spark, _trained_year(first, codes), codes, path)
+    return _scored_later(spark, path, others, year=True)
+
+
+def _saved_tables(spark: SparkSession, path: str, year: bool) -> DataFrame:
+    """Metrics and dictionary that a training left, read back."""
+    saved = jobs.load_saved(spark.newSession(), path, year)
+    measures = [F.struct(F.lit(n).alias("name"), F.round(F.col(n).cast("double"), 6).alias("value")) for n in METRICS]
+    metrics = saved.metrics.select(F.inline(F.array(*measures))).select(
+        F.lit("metrics").alias("part"), "name", F.lit("").alias("code"), F.lit("").alias("width"), "value"
+    )
+    dictionary = saved.dictionary.select(
+        F.lit("dictionary").alias("part"), F.col("feature_code").alias("name"), F.col("feature_col_name").alias("code"),
+        F.col("feature_vector_cnt").alias("width"), F.col("feature_vector_index").cast("double").alias("value"),
+    )
+    return metrics.unionByName(dictionary)
+
+
+def job_month_tables(spark, sf):
+    df, codes = _prepared(spark, sf)
+    path = f"{shared_dir(spark)}/payscore-{uuid.uuid4().hex}"
+    jobs.save_outcome(spark, jobs.train_month(df, codes, fx.FEATURES, 2), codes, path)
+    return _saved_tables(spark, path, year=False)
+
+
+def job_year_tables(spark, sf):
+    """Metrics and dictionary of a year's training, and the predictions of its model, all read back."""
+    df, codes = _prepared(spark, sf)
+    path = f"{shared_dir(spark)}/payscore-{uuid.uuid4().hex}"
+    jobs.save_outcome(spark, _trained_year(df, codes), codes, path)
+    model = jobs.load_saved(spark, path, year=True).model
+    shown = _shown(jobs.score_year(df, codes, fx.FEATURES, model).results)
+    rows = shown.select(
+        F.lit("predictions").alias("part"), F.col("mios_trans_code").alias("name"), F.col("features").alias("code"),
+        F.col("train_label").cast("int").cast("string").alias("width"), F.col("train_accuracy").alias("value"),
+    )
+    return _saved_tables(spark, path, year=True).unionByName(rows)
+
+
 def display(spark, sf):
     df = derive_customers(fx.wide_transactions(spark, sf), fx.RANGES, fx.AS_OF_YEAR)
     missing = [c for c in report.DISPLAY_COLUMNS if c not in df.columns]
@@ -525,6 +640,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stage_for_scoring": stage_for_scoring_query,
     "read_partitions": read_partitions,
     "drop_header_lines": drop_header_lines_query,
+    "job_load": job_load,
     "customer_frequency": customer_frequency,
     "dedup_month": dedup_month_query,
     "dedup_year": dedup_year_query,
@@ -569,10 +685,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "display": display,
     "sinks_roundtrip": sinks_roundtrip,
     "job_features": job_features,
+    "job_features_trained": job_features_trained,
     "job_catalog": job_catalog,
     "job_train_month": job_train_month,
     "job_score_month": job_score_month,
     "job_train_year": job_train_year,
     "job_score_year": job_score_year,
     "job_display": job_display,
+    "job_display_published": job_display_published,
+    "job_month_tables": job_month_tables,
+    "job_year_tables": job_year_tables,
+    "score_unseen": score_unseen,
+    "score_unseen_year": score_unseen_year,
 }

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from payscore.sources.sinks import overwrite_partition
+
 # The columns of a bank-debit transaction, all text.
 TRANSACTION_COLUMNS = """
 mios_trans_code sys_no trans_code trans_bat_no trans_stat trans_bat_seq plnmio_rec_id
@@ -19,16 +22,27 @@ bank_trans_desc mio_cust_name gclk_branch_no gclk_clerk_code mio_tx_no
 """.split()
 
 
+#: Why a folder has nothing to read: it is not there, or holds no files yet.
+_NOTHING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def _folder(spark: SparkSession, root: str, *parts: str) -> DataFrame | None:
-    """The files of one partition folder, with the columns its path stands for; None if there is no such folder."""
+    """The files of one partition folder, with the columns its path stands for; None if there is nothing to read."""
     try:
         return spark.read.option("basePath", root).parquet("/".join([root.rstrip("/"), *parts]))
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in _NOTHING:
             raise
         return None
 
 
+def _month_folders(spark: SparkSession, root: str, year: int, month: int) -> list[DataFrame]:
+    """What is there of a month, whose folder may be spelled with one digit, with two, or both."""
+    spelled = dict.fromkeys((f"month_id={month}", f"month_id={month:02d}"))
+    found = [_folder(spark, root, f"year_id={year}", name) for name in spelled]
+    return [df for df in found if df is not None]
+
+
 def read_year(spark: SparkSession, root: str, year: int) -> DataFrame:
     """All months of a year below ``root/year_id=…/month_id=…``; other folders are neither listed nor read."""
     found = _folder(spark, root, f"year_id={year}")
@@ -38,9 +52,42 @@ def read_year(spark: SparkSession, root: str, year: int) -> DataFrame:
 
 def read_month(spark: SparkSession, root: str, year: int, month: int) -> DataFrame:
     """One month below ``root/year_id=…/month_id=…``; a month without files gives no rows."""
-    found = _folder(spark, root, f"year_id={year}", f"month_id={month}")
-    year_rows = read_year(spark, root, year) if found is None else found.where(F.col("year_id") == year)
-    return year_rows.where(F.col("month_id") == month)
+    found = _month_folders(spark, root, year, month)
+    rows = reduce(DataFrame.unionByName, found) if found else read_year(spark, root, year)
+    return rows.where((F.col("year_id") == year) & (F.col("month_id") == month))
+
+
+def attach_months(
+    spark: SparkSession,
+    raw: str,
+    root: str,
+    year: int,
+    months: Sequence[int],
+    columns: Sequence[str] = TRANSACTION_COLUMNS,
+    fmt: str = "parquet",
+) -> list[int]:
+    """Publish raw months as partitions of ``root``, each once; the months that were published.
+
+    ``raw`` names the folder of a month with ``{year}`` and ``{month}`` in it. A month that is there already
+    stays as it is, whatever its raw folder holds by now; one without a raw folder is left out. All new months
+    go in one write, which puts its files aside and moves whole partitions in place when it is done, so a job
+    that is lost half-way leaves nothing that counts as there.
+    """
+    new, parts = [], []
+    for month in months:
+        if _month_folders(spark, root, year, month):
+            continue
+        try:
+            rows = spark.read.format(fmt).option("header", "true").load(raw.format(year=year, month=month))
+        except AnalysisException as error:
+            if error.getCondition() not in _NOTHING:
+                raise
+            continue
+        new.append(month)
+        parts.append(conform(rows, columns).withColumns({"year_id": F.lit(year), "month_id": F.lit(month)}))
+    if parts:
+        overwrite_partition(reduce(DataFrame.unionByName, parts), root)
+    return new
 
 
 def conform(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -49,8 +49,7 @@ def test_query(spark, duck, name):
 
 
 def test_every_statement_belongs_to_a_query():
-    assert set(QUERIES) - set(ORACLE) == {"cluster_train"}
-    assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) == set(ORACLE)
     assert set(QUERIES) <= set(entry_points.queries())
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
