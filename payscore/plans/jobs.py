@@ -200,7 +200,9 @@ def score_month(
 def _encoded(rows: DataFrame, dictionary: DataFrame | None, slots: Sequence[str]) -> tuple[DataFrame, list[str]]:
     if dictionary is None:
         return rows, []
-    return encode_with_dictionary(rows, dictionary, slots), ["active"]
+    done = encode_with_dictionary(rows, dictionary, slots)
+    # The year's rows of nulls have no codes and so no vector.
+    return done.withColumn("active", F.when(F.col("codes").isNotNull(), F.col("active"))), ["active"]
 
 
 def train_year(

@@ -6,7 +6,8 @@ transactions, so ``id`` stands for a row.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 
 from payscore import fixtures as fx
 from payscore.operators.report import DISPLAY_COLUMNS
@@ -440,8 +441,12 @@ def split_terms(source: str) -> str:
 
 
 def month_training(rounds: int) -> list[str]:
+    return [*CATALOG, FREQ, FULL, *month_rows(rounds)]
+
+
+def month_rows(rounds: int) -> list[str]:
     return [
-        *CATALOG, FREQ, FULL, MONTH_ROWS,
+        MONTH_ROWS,
         portrait("pho", "cust", MONTH),
         split_terms("pho"),
         f"rows AS MATERIALIZED (SELECT mios_trans_code AS id, '' AS model, {LABEL} AS label, 1.0::DOUBLE AS w, "
@@ -465,26 +470,112 @@ WINNER = (
 )
 
 
-def year_job(test_only: bool) -> str:
-    by_month = f"""rows AS MATERIALIZED (SELECT mios_trans_code AS id, acc_cust_month AS model, {LABEL} AS label,
+BY_MONTH = f"""rows AS MATERIALIZED (SELECT mios_trans_code AS id, acc_cust_month AS model, {LABEL} AS label,
  1.0::DOUBLE AS w, {PART} = 'train' AS train FROM cust WHERE mios_trans_code IN (SELECT min(mios_trans_code) FROM cust
  GROUP BY acc_cust_month, trans_stat, bankacc_id_type, bankacc_id_no))"""
-    ctes = [*CATALOG, portrait("pho", "cust", MONTH), split_terms("pho").replace("terms AS", "month_terms AS", 1), by_month]
-    ctes += [c.replace("terms ", "month_terms ") for c in boost(2)]
-    ctes += [
-        portrait("ypho", "cust", YEAR),
-        split_terms("ypho"),
-        f"""yrows AS MATERIALIZED (SELECT c.mios_trans_code AS id, '' AS model, {PART} AS part FROM cust c RIGHT JOIN
- (SELECT min(mios_trans_code) AS code, acc_cust_month AS m FROM cust
+YEAR_ROWS = f"""yrows AS MATERIALIZED (SELECT c.mios_trans_code AS id, '' AS model, {PART} AS part, {LABEL} AS label
+ FROM cust c RIGHT JOIN (SELECT min(mios_trans_code) AS code, acc_cust_month AS m FROM cust
   GROUP BY trans_stat, bankacc_id_type, bankacc_id_no, acc_cust_month) g
- ON c.mios_trans_code = g.code AND c.acc_cust_month = g.m)""",
-        *ensemble(2, "joint", "blend", month_weights_sql(12, fx.CURRENT_MONTH), "yrows"),
+ ON c.mios_trans_code = g.code AND c.acc_cust_month = g.m)"""
+YEAR_WINNER = """ywin AS MATERIALIZED (SELECT id, label FROM yraw QUALIFY row_number() OVER
+  (PARTITION BY id ORDER BY round(v, 12) DESC, label) = 1)"""
+
+
+def year_training() -> list[str]:
+    return [
+        *CATALOG, portrait("pho", "cust", MONTH), renamed(split_terms("pho"), {"terms": "month_terms"}), BY_MONTH,
+        *[renamed(c, {"terms": "month_terms"}) for c in boost(2)],
+        portrait("ypho", "cust", YEAR), split_terms("ypho"), YEAR_ROWS,
+        *ensemble(2, "joint", "blend", month_weights_sql(12, fx.CURRENT_MONTH), "yrows"), YEAR_WINNER,
     ]
+
+
+def year_job(test_only: bool) -> str:
     here = "r.part = 'test'" if test_only else "TRUE"
-    return sql(ctes, f"""SELECT r.id AS mios_trans_code, p.features, CASE WHEN {here} THEN y.label END AS train_label,
+    return sql(year_training(), f"""SELECT r.id AS mios_trans_code, p.features, CASE WHEN {here} THEN y.label END AS train_label,
  CASE WHEN {here} THEN round(round(b.p * 100, 2), 6) END AS train_accuracy
- FROM yrows r JOIN ypho p ON p.id = r.id JOIN (SELECT id, label FROM yraw QUALIFY row_number() OVER
-  (PARTITION BY id ORDER BY round(v, 12) DESC, label) = 1) y ON y.id = r.id JOIN blend b ON b.id = r.id AND b.label = y.label""")
+ FROM yrows r JOIN ypho p ON p.id = r.id JOIN ywin y ON y.id = r.id JOIN blend b ON b.id = r.id AND b.label = y.label""")
+
+
+# Later batches, scored with what was learned from cust: bcust(…), cat2(…)
+
+
+def renamed(text: str, names: Mapping[str, str]) -> str:
+    return re.sub(r"\b(" + "|".join(names) + r")\b", lambda m: names[m[0]], text)
+
+
+def two_batches(training: str) -> list[str]:
+    """cust has the rows to learn from, bcust all others; cat2 extends cat by the values of bcust."""
+    batch = {"tx": "batch", "attr": "battr", "cust": "bcust"}
+    days = bucket("CAST(acc_cust_day AS DOUBLE)", "FALSE", "date_rang")
+    no_days = bucket("CAST(acc_cust_day AS DOUBLE)", "acc_cust_day IS NULL", "date_rang")
+    assert days in CUST
+    changed = ", ".join(f"{e} AS {c}" for c, e in fx.LATER_SQL.items())
+    return [
+        TX, RANGES, FEATS,
+        f"src AS MATERIALIZED (SELECT * FROM tx WHERE {training})",
+        renamed(ATTR, {"tx": "src"}), CUST, VALS, catalog("cat", "vals"),
+        f"batch AS MATERIALIZED (SELECT * REPLACE ({changed}) FROM tx WHERE NOT ({training}))",
+        renamed(ATTR, batch), renamed(CUST.replace(days, no_days), batch),
+        f"newvals AS (SELECT DISTINCT pcode, value FROM ({feature_rows('bcust', ACTIVE)}) EXCEPT SELECT pcode, value FROM vals)",
+        catalog("new", "newvals"),
+        "cat2 AS MATERIALIZED (SELECT feature_code, feature_value, feature_pcode FROM cat UNION ALL SELECT "
+        "CAST(CAST(feature_code AS INT) + (SELECT count(*) FROM cat o WHERE o.feature_pcode = n.feature_pcode) AS VARCHAR), "
+        "feature_value, feature_pcode FROM new n)",
+    ]
+
+
+def positions(chosen: str) -> list[str]:
+    """idx(slot, code, width, idx, pos) of the (slot, code) rows chosen."""
+    return [
+        f"chosen AS ({chosen})",
+        "cnts AS (SELECT slot, code, count(*) AS cnt FROM chosen GROUP BY slot, code)",
+        "idx AS MATERIALIZED (SELECT slot, code, CAST(row_number() OVER (PARTITION BY slot ORDER BY cnt DESC, code) - 1 AS INT) "
+        "AS idx, CAST(count(*) OVER (PARTITION BY slot) AS INT) AS width, "
+        "CAST(row_number() OVER (ORDER BY slot, cnt DESC, code) - 1 AS INT) AS pos FROM cnts)",
+    ]
+
+
+def ones(terms: str) -> str:
+    return (
+        "ones AS MATERIALIZED (SELECT t.id, coalesce(string_agg(CAST(i.pos AS VARCHAR), ',' ORDER BY i.pos), '') AS active "
+        f"FROM {terms} t LEFT JOIN idx i ON i.slot = t.slot AND i.code = t.code GROUP BY t.id)"
+    )
+
+
+def unseen_month(training: str) -> str:
+    later = {"terms": "bterms", "cat": "cat2"}
+    return sql(
+        [*two_batches(training), *month_rows(2), *positions("SELECT t.slot, t.code FROM terms t JOIN rows r ON r.id = t.id"),
+         renamed(portrait("bpho", "bcust", MONTH), later), renamed(split_terms("bpho"), later),
+         "everyone AS MATERIALIZED (SELECT mios_trans_code AS id, '' AS model FROM bcust)",
+         *[renamed(c, later) for c in round_scores_of(2, "everyone")], WINNER, ones("bterms")],
+        """SELECT p.id AS mios_trans_code, p.features, o.active, w.label AS train_label, round(w.p, 6) AS train_accuracy
+ FROM bpho p JOIN win w ON w.id = p.id JOIN ones o ON o.id = p.id""")
+
+
+def unseen_year(training: str) -> str:
+    later = {"cust": "bcust", "cat": "cat2"}
+    months = {"terms": "month_terms"}
+    return sql(
+        [*two_batches(training), portrait("pho", "cust", MONTH), renamed(split_terms("pho"), months), BY_MONTH,
+         *[renamed(c, months) for c in boost(2)],
+         portrait("tpho", "cust", YEAR), renamed(split_terms("tpho"), {"terms": "tterms"}), renamed(YEAR_ROWS, {"yrows": "trows"}),
+         *positions("SELECT t.slot, t.code FROM tterms t JOIN trows r ON r.id = t.id"),
+         renamed(portrait("ypho", "cust", YEAR), later), renamed(split_terms("ypho"), later), renamed(YEAR_ROWS, later),
+         *ensemble(2, "joint", "blend", month_weights_sql(12, fx.CURRENT_MONTH), "yrows"), YEAR_WINNER, ones("terms")],
+        """SELECT r.id AS mios_trans_code, p.features, o.active, y.label AS train_label,
+ round(round(b.p * 100, 2), 6) AS train_accuracy FROM yrows r LEFT JOIN ypho p ON p.id = r.id
+ LEFT JOIN ones o ON o.id = r.id LEFT JOIN ywin y ON y.id = r.id LEFT JOIN blend b ON b.id = r.id AND b.label = y.label""")
+
+
+def saved_tables(metrics: str) -> str:
+    """Metrics of done(label, pred) and the dictionary of idx, as rows."""
+    names = ["n_rows", "n_correct", "accuracy", "precision", "recall", "f1", "fpr", "area_under_roc", "area_under_pr"]
+    pairs = ", ".join(f"{{'name': '{n}', 'value': CAST({n} AS DOUBLE)}}" for n in names)
+    return f"""SELECT 'metrics' AS part, m.name, '' AS code, '' AS width, m.value FROM
+ (SELECT unnest([{pairs}]) AS m FROM ({metrics})) UNION ALL
+ SELECT 'dictionary', slot, code, CAST(width AS VARCHAR), CAST(idx AS DOUBLE) FROM idx"""
 
 
 def display_columns() -> str:
@@ -703,6 +794,27 @@ SELECT label, CASE WHEN r1 > r0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS predict
         f"""SELECT {columns}, x.features_desc, 2001 AS year_id, {fx.CURRENT_MONTH} AS month_id FROM rows r
  JOIN full_cust f ON f.mios_trans_code = r.id JOIN pho p ON p.id = r.id JOIN win w ON w.id = r.id
  JOIN texts x ON x.id = r.id""")
+    assert "2001 AS year_id, 8 AS month_id" in out["job_display"]
+    out["job_display_published"] = out["job_display"].replace(
+        "2001 AS year_id, 8 AS month_id", "2001 AS year_id, m.month_id") + (
+        " JOIN (VALUES (7), (8)) AS m(month_id) ON m.month_id = 8 OR f.trans_stat = '1'")
+    kept_terms = "SELECT t.slot, t.code FROM terms t JOIN {rows} r ON r.id = t.id"
+    out["job_month_tables"] = sql(
+        [*month_training(2), *round_scores_of(2, "rows"), WINNER, *positions(kept_terms.format(rows="rows")),
+         "done AS MATERIALIZED (SELECT r.label, w.label AS pred FROM rows r JOIN win w ON w.id = r.id WHERE NOT r.train)"],
+        saved_tables(metric_row("label", "pred", "FALSE")))
+    out["job_year_tables"] = sql(
+        [*year_training(), *positions(kept_terms.format(rows="yrows")),
+         "done AS MATERIALIZED (SELECT r.label, y.label AS pred FROM yrows r JOIN ywin y ON y.id = r.id WHERE r.part = 'test')"],
+        saved_tables(metric_row("label", "pred", "FALSE"))
+        + """ UNION ALL SELECT 'predictions', r.id, p.features, CAST(CAST(y.label AS INT) AS VARCHAR),
+ round(round(b.p * 100, 2), 6) FROM yrows r JOIN ypho p ON p.id = r.id JOIN ywin y ON y.id = r.id
+ JOIN blend b ON b.id = r.id AND b.label = y.label""")
+    # The queries' training batches, stated once more.
+    out["score_unseen"] = unseen_month("year_id = 1996 AND month_id = 3")
+    out["score_unseen_year"] = unseen_year("year_id <= 1995")
+    out["job_load"] = sql(tx, f"""SELECT {STAGED}, p.part FROM tx JOIN (VALUES ('month'), ('year')) AS p(part)
+ ON p.part = 'year' OR month_id = 5 WHERE year_id = 1997""")
     return out
 
 

@@ -562,8 +562,8 @@ def _batches(spark: SparkSession, sf: str, training: str) -> tuple[DataFrame, Da
 
 
 def _scored_later(spark: SparkSession, path: str, batch: DataFrame, year: bool) -> DataFrame:
-    """Another session scores the batch with what the training left in ``path``."""
-    saved = jobs.load_saved(spark.newSession(), path, year)
+    """The batch scored with nothing but what the training left in ``path``."""
+    saved = jobs.load_saved(spark, path, year)
     results = jobs.score_batch(batch, saved, fx.FEATURES, fx.RANGES)[0].results
     return _shown(results, F.array_join("active", ",").alias("active"))
 
@@ -590,7 +590,7 @@ def score_unseen_year(spark, sf):
 
 def _saved_tables(spark: SparkSession, path: str, year: bool) -> DataFrame:
     """Metrics and dictionary that a training left, read back."""
-    saved = jobs.load_saved(spark.newSession(), path, year)
+    saved = jobs.load_saved(spark, path, year)
     measures = [F.struct(F.lit(n).alias("name"), F.round(F.col(n).cast("double"), 6).alias("value")) for n in METRICS]
     metrics = saved.metrics.select(F.inline(F.array(*measures))).select(
         F.lit("metrics").alias("part"), "name", F.lit("").alias("code"), F.lit("").alias("width"), "value"

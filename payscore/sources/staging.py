@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -36,13 +37,6 @@ def _folder(spark: SparkSession, root: str, *parts: str) -> DataFrame | None:
         return None
 
 
-def _month_folders(spark: SparkSession, root: str, year: int, month: int) -> list[DataFrame]:
-    """What is there of a month, whose folder may be spelled with one digit, with two, or both."""
-    spelled = dict.fromkeys((f"month_id={month}", f"month_id={month:02d}"))
-    found = [_folder(spark, root, f"year_id={year}", name) for name in spelled]
-    return [df for df in found if df is not None]
-
-
 def read_year(spark: SparkSession, root: str, year: int) -> DataFrame:
     """All months of a year below ``root/year_id=…/month_id=…``; other folders are neither listed nor read."""
     found = _folder(spark, root, f"year_id={year}")
@@ -51,10 +45,18 @@ def read_year(spark: SparkSession, root: str, year: int) -> DataFrame:
 
 
 def read_month(spark: SparkSession, root: str, year: int, month: int) -> DataFrame:
-    """One month below ``root/year_id=…/month_id=…``; a month without files gives no rows."""
-    found = _month_folders(spark, root, year, month)
-    rows = reduce(DataFrame.unionByName, found) if found else read_year(spark, root, year)
-    return rows.where((F.col("year_id") == year) & (F.col("month_id") == month))
+    """One month below ``root/year_id=…/month_id=…``; a month without files gives no rows.
+
+    Only this month's files are read, whether its folder is spelled with one digit, with two, or there are both.
+    """
+    return read_year(spark, root, year).where(F.col("month_id") == month)
+
+
+def _months_of(spark: SparkSession, root: str, year: int) -> set[int]:
+    """The months of a year that have files, from their folders' names."""
+    found = _folder(spark, root, f"year_id={year}")
+    files = [] if found is None else found.inputFiles()
+    return {int(m[1]) for m in (re.search(r"/month_id=(\d+)/[^/]*$", f) for f in files) if m}
 
 
 def attach_months(
@@ -73,9 +75,9 @@ def attach_months(
     go in one write, which puts its files aside and moves whole partitions in place when it is done, so a job
     that is lost half-way leaves nothing that counts as there.
     """
-    new, parts = [], []
+    new, parts, there = [], [], _months_of(spark, root, year)
     for month in months:
-        if _month_folders(spark, root, year, month):
+        if month in there:
             continue
         try:
             rows = spark.read.format(fmt).option("header", "true").load(raw.format(year=year, month=month))
