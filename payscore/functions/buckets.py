@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from payscore.functions.numbers import constant, let
 from payscore.sources.config import Range
 
 # Code for a number in no range, and for a missing number.
@@ -15,25 +17,43 @@ NO_VALUE = "9999"
 
 
 def _segments(ranges: Sequence[Range]) -> tuple[list[float], list[str]]:
-    """Cut possibly overlapping ranges at all their ends; a code for each piece between two ends."""
+    """Cut possibly overlapping ranges at all their ends; a code for each piece between two ends.
+
+    One sweep over the ends, with the ranges that have begun in a heap, the highest ``ord`` on top.
+    """
     ends = sorted({float(x) for r in ranges for x in (r.start, r.end)})
-    latest_first = sorted(ranges, key=lambda r: r.ord, reverse=True)
-    codes = [
-        next((r.code for r in latest_first if r.start <= low and high <= r.end), NO_RANGE)
-        for low, high in zip(ends, ends[1:])
-    ]
+    waiting = sorted(enumerate(ranges), key=lambda x: x[1].start, reverse=True)
+    open_ranges: list[tuple[int, int, Range]] = []
+    codes = []
+    for low in ends[:-1]:
+        while waiting and waiting[-1][1].start <= low:
+            i, r = waiting.pop()
+            heapq.heappush(open_ranges, (-r.ord, i, r))
+        while open_ranges and open_ranges[0][2].end <= low:
+            heapq.heappop(open_ranges)
+        codes.append(open_ranges[0][2].code if open_ranges else NO_RANGE)
     return ends, codes
 
 
-#: Up to this many ends are compared one by one in generated code.
-UNROLL = 64
+def _ends_below(number: Column, ends: Sequence[float]) -> Column:
+    """How many of the sorted ends are smaller than a number: a binary search in a constant array."""
+    sorted_ends = constant(ends)
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(ends).bit_length()))])
+
+    def search(value: Column) -> Column:
+        def go_on(at: Column, step: Column) -> Column:
+            return F.when(F.get(sorted_ends, at + step - 1) < value, at + step).otherwise(at)
+
+        return F.aggregate(steps, F.lit(0), go_on)
+
+    return let(number, search)
 
 
 def bucketize(value: Column, ranges: Sequence[Range], flag: str, strict: bool = False) -> Column:
     """Code of the range of kind ``flag`` that holds ``value`` (a text), ``start < value <= end``.
 
-    Overlaps are resolved once, here. A row counts the ends below its value, which is the place
-    of its code; the value is parsed once, as nothing here is evaluated on a condition.
+    Overlaps are resolved once, here. A row looks its place up among the sorted ends, in as many steps as
+    their number has binary digits; the value is parsed once.
     """
     mine = [r for r in ranges if r.flag == flag]
     if not mine:
@@ -41,12 +61,6 @@ def bucketize(value: Column, ranges: Sequence[Range], flag: str, strict: bool =
     missing = value.isNull() | value.isin("", "null")
     number = F.when(~missing, value).cast("double") if strict else value.try_cast("double")
     ends, codes = _segments(mine)
-    if len(ends) <= UNROLL:
-        place = F.lit(0)
-        for end in ends:
-            place = place + (number > end).cast("int")
-    else:
-        below = F.filter(F.array(*[F.lit(e) for e in ends]), lambda end: number > end)
-        place = F.when(number.isNotNull(), F.size(below))
+    place = F.when(number.isNotNull(), _ends_below(number, ends))
     code = F.get(F.array(*[F.lit(c) for c in [NO_RANGE, *codes, NO_RANGE]]), place)
     return F.coalesce(code, F.when(missing, F.lit(NO_VALUE)).otherwise(NO_RANGE))

@@ -11,12 +11,12 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from payscore.functions import argmax, constant, softmax, sum_arrays
 from payscore.operators.encode import slot_entries
-from payscore.shared import Stored, local_table, lookup, lookup_each, split_by, store
+from payscore.shared import Stored, local_table, lookup, lookup_each, split_by, store, with_total
 
 MULTINOMIAL = "multinomial"
 BERNOULLI = "bernoulli"
@@ -108,13 +108,14 @@ def balance(counts: Mapping[float, float]) -> dict[float, float]:
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     """The weights of :func:`balance` as a table: label, cnt, weight."""
-    every = Window.partitionBy(F.lit(0))  # one row per class
-    share = F.col("cnt") / F.sum("cnt").over(every)
-    table = label_counts(df, label).withColumns({"_share": share, "_classes": F.count(F.lit(1)).over(every)})
-    table = table.withColumn("_odds", (1 - F.col("_share")) / F.col("_share"))
-    odds = F.col("_odds") / F.sum("_odds").over(every)
-    weight = F.when(F.col("_classes") == 2, 1 - F.col("_share")).otherwise(odds)
-    return table.select(label, "cnt", weight.alias("weight"))
+    counts = store(label_counts(df, label)).df
+    # Totals are rows of their own, joined back: no task holds all labels.
+    total = counts.agg(F.sum("cnt").alias("_n"), F.count(F.lit(1)).alias("_classes"))
+    share = F.col("cnt") / F.col("_n")
+    shared = with_total(counts, total).withColumn("_odds", (1 - share) / share)
+    shared = with_total(shared, shared.agg(F.sum("_odds").alias("_all_odds")))
+    weight = F.when(F.col("_classes") == 2, 1 - share).otherwise(F.col("_odds") / F.col("_all_odds"))
+    return shared.select(label, "cnt", weight.alias("weight"))
 
 
 def nb_stats(

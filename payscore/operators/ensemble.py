@@ -79,7 +79,7 @@ def ensemble_score(
     and, with ``prob``, the blended class probabilities as ``prob`` and ``confidence``.
 
     Scoring by many models costs far more than finding equal rows, so each distinct list of codes
-    is scored once and looked up, as long as the distinct lists are few enough to broadcast.
+    is scored once and looked up.
 
     ``vote`` says how a month decides: ``joint`` takes the class with the largest sum of log
     joint scores over its rounds (steps add the same to every class, so they do not matter),
@@ -88,10 +88,8 @@ def ensemble_score(
     weights; ``prob="mean"`` sums the posteriors of one-round models times the month weights.
     """
     key = F.coalesce(F.col(codes), F.array().cast("array<string>"))
-    distinct = store(df.select(key.alias("_codes")).distinct(), 512)
-    if not distinct.broadcastable:
-        return _score(df, ensemble, codes, slots, vote, prob)
-    scored = _score(distinct.df, ensemble, "_codes", slots, vote, prob)
+    distinct = df.select(key.alias("_codes")).distinct()
+    scored = _score(distinct, ensemble, "_codes", slots, vote, prob)
     return lookup_each(df, [(store(scored, 512), [(key, "_codes")])])
 
 

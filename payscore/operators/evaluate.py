@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from payscore.functions import split_bucket
+from payscore.shared import with_total
 
 
 def split_by_key(df: DataFrame, *key: str, share: int = 80) -> DataFrame:
@@ -43,8 +44,9 @@ def weighted_metrics(matrix: DataFrame) -> DataFrame:
             F.sum("x.predicted").alias("predicted"),
             F.sum(F.when(F.col("side") == 0, F.col("hit")).otherwise(0)).alias("hits"),
         )
-        .withColumn("n", F.sum("support").over(Window.partitionBy(F.lit(0))))
     )
+    # Every row of the matrix has one label, so its counts sum up to those of the classes.
+    per_class = with_total(per_class, matrix.agg(F.sum("cnt").alias("n")))
     precision = _ratio(F.col("hits"), F.col("predicted"))
     recall = _ratio(F.col("hits"), F.col("support"))
     share = F.col("support") / F.col("n")
@@ -87,7 +89,4 @@ def evaluate(
     if as_published:
         label, prediction = prediction, label
     matrix = confusion(df, label, prediction)
-    # Both sides are aggregates without a key, so each has exactly one row.
-    left = weighted_metrics(matrix).withColumn("_one", F.lit(1))
-    right = binary_auc(matrix).withColumn("_one", F.lit(1))
-    return left.join(F.broadcast(right), "_one").drop("_one")
+    return with_total(weighted_metrics(matrix), binary_auc(matrix))

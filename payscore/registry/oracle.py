@@ -600,6 +600,10 @@ def _statements() -> dict[str, str]:
         ("day_bucket", "CAST(acc_cust_day AS DOUBLE)", "FALSE", "date_rang"),
     ):
         out[name] = sql(overlap, f"SELECT mios_trans_code, {bucket(value, missing, flag)} AS bucket FROM attr")
+    out["bucket_many"] = sql(
+        [TX, "ranges AS (SELECT i * 7919 % 2000 AS ord, 200.0::DOUBLE * i AS lo, 200.0::DOUBLE * i + 250 + i % 7 * 40 AS hi, "
+         "'c' || i AS code, 'fine' AS flag FROM range(2000) AS t(i))", ATTR],
+        f"SELECT mios_trans_code, {bucket('amount', NO_AMOUNT, 'fine')} AS bucket FROM attr")
     out["stage_month"] = sql(tx, f"SELECT {STAGED} FROM tx WHERE year_id = 1997 AND month_id = 5")
     out["stage_year"] = sql(tx, f"SELECT {STAGED} FROM tx WHERE year_id = 1998")
     out["stage_for_scoring"] = sql(
@@ -667,6 +671,23 @@ def _statements() -> dict[str, str]:
         return f"SELECT '{kind}' AS kind, label, cnt, round(v, 6) AS weight FROM ({inner})"
 
     out["class_weights"] = weights("trans_stat", LABEL) + " UNION ALL " + weights("order_status", LABEL3)
+    priced = """priced AS MATERIALIZED (SELECT CAST(l_extendedprice AS DOUBLE) AS label,
+ CASE WHEN l_linenumber % 3 = 0 THEN round(CAST(l_extendedprice AS DOUBLE) * 0.9::DOUBLE, 2) ELSE CAST(l_extendedprice AS DOUBLE)
+ END AS prediction FROM lineitem)"""
+    out["class_weights_many"] = sql([priced], """SELECT label, cnt, round(o / sum(o) OVER () * 1000000, 6) AS weight_ppm
+ FROM (SELECT label, cnt, (1 - cnt / n) / (cnt / n) AS o FROM (SELECT label, count(*) AS cnt,
+ CAST(sum(count(*)) OVER () AS DOUBLE) AS n FROM priced GROUP BY label))""")
+    out["metrics_many"] = sql(
+        [priced, """classes AS MATERIALIZED (SELECT c, CAST(sum(s) AS DOUBLE) AS sup, CAST(sum(p) AS DOUBLE) AS prd,
+ CAST(sum(h) AS DOUBLE) AS tp, (SELECT CAST(count(*) AS DOUBLE) FROM priced) AS n FROM
+ (SELECT label AS c, 1 AS s, 0 AS p, CASE WHEN label = prediction THEN 1 ELSE 0 END AS h FROM priced
+  UNION ALL SELECT prediction, 0, 1, 0 FROM priced) GROUP BY c)""",
+         """each AS (SELECT *, CASE WHEN prd = 0 THEN 0 ELSE tp / prd END AS prec, CASE WHEN sup = 0 THEN 0 ELSE tp / sup END AS rec
+ FROM classes)"""],
+        """SELECT CAST(sum(sup) AS BIGINT) AS n_rows, CAST(sum(tp) AS BIGINT) AS n_correct,
+ round(sum(tp) / sum(sup), 6) AS accuracy, round(sum(sup / n * prec), 6) AS precision, round(sum(sup / n * rec), 6) AS recall,
+ round(sum(sup / n * CASE WHEN prec + rec = 0 THEN 0 ELSE 2 * prec * rec / (prec + rec) END), 6) AS f1,
+ round(sum(sup / n * (prd - tp) / (n - sup)) * 1000000, 6) AS fpr_ppm FROM each""")
     out["check_features"] = " UNION ALL ".join(
         f"""SELECT '{n}' AS feature, count(*) AS n_rows, count(*) FILTER ({e} < 0) AS n_negative,
  count(*) FILTER ({e} NOT IN (0, 1) OR {e} IS NULL) AS n_not_binary, count(*) FILTER ({e} < 0) = 0 AS multinomial_ok,
@@ -737,7 +758,8 @@ SELECT label, CASE WHEN r1 > r0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS predict
                          metric_row("label", "pred", "FALSE") + " UNION ALL " + metric_row("pred", "label", "TRUE"))
     out["softmax_shares"] = """SELECT c_custkey, """ + ", ".join(
         f"round(exp(s{i} - m) / (exp(s0 - m) + exp(s1 - m) + exp(s2 - m)), 6) AS share{i}" for i in range(3)
-    ) + """ FROM (SELECT *, greatest(s0, s1, s2) AS m FROM (SELECT c_custkey, c_acctbal / 1000 AS s0,
+    ) + """, round(100 / (exp(s0 - m) + exp(s1 - m) + exp(s2 - m)), 2) AS best_percent
+ FROM (SELECT *, greatest(s0, s1, s2) AS m FROM (SELECT c_custkey, c_acctbal / 1000 AS s0,
  c_nationkey / 3.0::DOUBLE AS s1, 2.5::DOUBLE AS s2 FROM customer))"""
     out["attach_predictions"] = sql(NB, f"""SELECT mios_trans_code, trans_code, trans_bat_no,
  CASE WHEN {PART} = 'test' THEN p.pred END AS train_label, CASE WHEN {PART} = 'test' THEN round(b.p, 6) END AS train_accuracy

@@ -14,7 +14,7 @@ from payscore.operators import bayes, bisect, boost, catalog, cluster, dedup, en
 from payscore.operators.derive import INSTANCE_TYPE, TIME_RANG, derive_customers
 from payscore.plans import jobs
 from payscore.shared import Stored, shared_dir, store
-from payscore.sources import active_features, conform, drop_header_lines, load_feature_list, load_ranges, read_month, read_year
+from payscore.sources import Range, active_features, conform, drop_header_lines, load_feature_list, load_ranges, read_month, read_year
 from payscore.sources import stage_for_scoring, stage_month, stage_year
 from payscore.sources import overwrite_partition, write_file, write_table
 
@@ -88,6 +88,14 @@ def _bucket(flag: str, value: Callable[[], Column]):
     return run
 
 
+def bucket_many(spark, sf):
+    """2,000 ranges that overlap, the highest number winning."""
+    ranges = [
+        Range(i * 7919 % 2000, "21000", "fine", 200.0 * i, 200.0 * i + 250 + i % 7 * 40, f"c{i}", "") for i in range(2000)
+    ]
+    return fx.transactions(spark, sf).select("mios_trans_code", bucketize(F.col("trans_amnt"), ranges, "fine").alias("bucket"))
+
+
 def stage_month_query(spark, sf):
     return stage_month(fx.transactions(spark, sf), 1997, 5, STAGED)
 
@@ -232,6 +240,24 @@ def class_weights(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+def _priced(spark: SparkSession, sf: str) -> DataFrame:
+    """Nearly as many classes as rows: numeric labels are prices, predictions one of two prices."""
+    price, line = F.col("l_extendedprice").cast("string"), F.col("l_linenumber")
+    df = spark.read.parquet(f"{sf}/lineitem.parquet").select(label_column(price, 1).alias("label"), line.alias("line"))
+    prediction = F.when(F.col("line") % 3 == 0, F.round(F.col("label") * 0.9, 2)).otherwise(F.col("label"))
+    return df.select("label", prediction.alias("prediction"))
+
+
+def class_weights_many(spark, sf):
+    table = bayes.class_weights(_priced(spark, sf))
+    return table.select("label", "cnt", r6(F.col("weight") * 1_000_000, "weight_ppm"))
+
+
+def metrics_many(spark, sf):
+    out = evaluate.weighted_metrics(evaluate.confusion(_priced(spark, sf)))
+    return out.select(*METRICS[:2], *[r6(n) for n in METRICS[2:6]], r6(F.col("fpr") * 1_000_000, "fpr_ppm"))
+
+
 def check_features(spark, sf):
     df = spark.read.parquet(f"{sf}/lineitem.parquet").withColumns(
         {"returned": (F.col("l_returnflag") == "R").cast("int"), "gap": F.col("l_quantity") - 25}
@@ -395,9 +421,10 @@ def metrics(spark, sf):
 def softmax_shares_query(spark, sf):
     df = spark.read.parquet(f"{sf}/customer.parquet")
     scores = F.array(F.col("c_acctbal") / 1000, F.col("c_nationkey") / F.lit(3.0), F.lit(2.5))
-    shares, _ = softmax_shares(scores)
-    return df.select("c_custkey", shares.alias("s")).select(
-        "c_custkey", *[r6(F.get("s", F.lit(i)), f"share{i}") for i in range(3)]
+    shares, percent = softmax_shares(scores)
+    best = F.round(F.regexp_replace(percent, "%", "").cast("double"), 2)
+    return df.select("c_custkey", shares.alias("s"), best.alias("best_percent")).select(
+        "c_custkey", "best_percent", *[r6(F.get("s", F.lit(i)), f"share{i}") for i in range(3)]
     )
 
 
@@ -635,6 +662,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "amount_bucket": _bucket("amnt_rang", lambda: F.col("trans_amnt")),
     "age_bucket": _bucket("age_rang", lambda: id_age(F.col("bankacc_id_type"), F.col("bankacc_id_no"), fx.AS_OF_YEAR)),
     "day_bucket": _bucket("date_rang", lambda: date_parts(F.col("plnmio_date"))[1].cast("string")),
+    "bucket_many": bucket_many,
     "stage_month": stage_month_query,
     "stage_year": stage_year_query,
     "stage_for_scoring": stage_for_scoring_query,
@@ -655,6 +683,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "encode_new": encode_new,
     "label_modes": label_modes,
     "class_weights": class_weights,
+    "class_weights_many": class_weights_many,
     "check_features": check_features,
     "nb_stats": nb_stats,
     "nb_model": nb_model,
@@ -676,6 +705,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "key_split": key_split,
     "confusion": confusion,
     "metrics": metrics,
+    "metrics_many": metrics_many,
     "softmax_shares": softmax_shares_query,
     "attach_predictions": attach_predictions,
     "decode_features": decode_features,

@@ -221,6 +221,12 @@ def lookup_each(
     return fact.drop(*[name for _, on in dims for _, name in on])
 
 
+def with_total(df: DataFrame, total: DataFrame) -> DataFrame:
+    """Add the columns of ``total``, an aggregate without keys and so one row, to every row."""
+    one = total.withColumn("_one", F.lit(1))
+    return df.withColumn("_one", F.lit(1)).join(F.broadcast(one), "_one").drop("_one")
+
+
 #: Up to this many rows one task may number a group; larger tables are numbered by ranges.
 WINDOW_ROWS = 1_000_000
 
