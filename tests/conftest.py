@@ -11,7 +11,7 @@ def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     builder = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[8]")
         .appName("tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")

@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from helpers import rows
@@ -126,3 +127,26 @@ def test_config(spark):
     assert rows(active_features(cfg), "idx") == [(i,) for i in range(1, 8)]
     assert rows(active_features(cfg, "month"), "idx") == [(i,) for i in range(1, 7)]
     assert rows(active_features(cfg, "year"), "idx") == [(i,) for i in (1, 2, 3, 4, 5, 7)]
+
+
+def test_many_ranges(spark):
+    """Overlapping, touching and empty ranges in random order, against a look at each of them."""
+    rng = random.Random(5)
+    ranges = []
+    for i in range(300):
+        start = rng.randint(0, 400) / 4
+        ranges.append(Range(rng.randint(0, 150), "1", "r", start, start + rng.choice([-1, 0, 0.25, 1, 5, 40]), f"c{i}", ""))
+    texts = [str(rng.randint(-10, 1000) / 8) for _ in range(400)] + ["", "null", None, "x", "NaN", "Infinity", "-Infinity"]
+
+    def brute(text):
+        try:
+            value = float(text)
+        except (TypeError, ValueError):
+            return "9999" if text in ("", "null", None) else "0"
+        found = [r for r in ranges if r.start < value <= r.end]
+        # The highest number wins, the first of equal ones.
+        return max(found, key=lambda r: r.ord).code if found else "0"
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = dict(rows(df.select("i", fn.bucketize(F.col("t"), ranges, "r").alias("b"))))
+    assert got == {i: brute(t) for i, t in enumerate(texts)}

@@ -1,9 +1,10 @@
 """Registered queries against their SQL on the small data folder.
 
-ALL_QUERIES=1 runs the slow ones too; the driver compares all of them in any case.
+The queries of a run start together, four at a time, as most of their time is the fixed cost of small jobs.
 """
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
@@ -14,9 +15,6 @@ from payscore.registry.queries import QUERIES
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
-SLOW = {"boost_samme", "boost_by_month", "boost_rounds", "nb_bernoulli", "nb_custom_weights", "nb_thresholds", "nb_model",
-        "year_vote", "year_vote_of_votes", "year_equal", "job_train_year", "job_score_month", "job_train_month",
-        "metrics", "catalog_extend", "attach_predictions", "sinks_roundtrip", "cluster_train", "job_catalog"}
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no data folder")
 
 
@@ -35,15 +33,24 @@ def by_name(names, data):
     return [names[i] for i in order], sorted((tuple(r[i] for i in order) for r in data), key=str)
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if os.environ.get("ALL_QUERIES") or n not in SLOW])
-def test_query(spark, duck, name):
-    df = QUERIES[name](spark, SF)
-    names, got = by_name(df.columns, df.collect())
-    statement = ORACLE.get(name)
+@pytest.fixture(scope="module")
+def results(spark, request):
+    """Columns and rows of every query that is tested in this run, or its failure."""
+    names = [item.callspec.params["name"] for item in request.session.items if getattr(item, "originalname", "") == "test_query"]
+
+    def run(name):
+        df = QUERIES[name](spark, SF)
+        return df.columns, df.collect()
+
+    with ThreadPoolExecutor(4) as pool:
+        return {name: pool.submit(run, name) for name in names}
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
+def test_query(results, duck, name):
+    names, got = by_name(*results[name].result())
     assert got
-    if statement is None:
-        return
-    done = duck.execute(statement)
+    done = duck.execute(ORACLE[name])
     columns = [c[0] for c in done.description]
     assert (names, got) == by_name(columns, done.fetchall())
 
