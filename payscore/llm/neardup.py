@@ -9,8 +9,8 @@
 4. First every class is compared with its nearest neighbour only, on the full sets, and the confirmed
    pairs are joined to components. Then each class is compared with its best neighbour in another
    component among the ``near`` next places, and then with more and more of all that share ``shallow``
-   leading values with it in any tree, best agreement of signatures first, until no candidate is left
-   uncompared. Regions of more than ``block_rows`` classes are cut into blocks, and every two blocks
+   leading values with it in any tree, best agreement of signatures first and as few for every two
+   components, until no candidate is left uncompared. Regions of more than ``block_rows`` classes are cut into blocks, and every two blocks
    meet in a task. Texts that are linked already are not compared.
 
 One byte of each value of the signature lets candidates pass that could be similar enough; every link is
@@ -194,8 +194,9 @@ def _regions(rule: Forest, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
 def _meetings(rule: Forest, last: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b, more) of rows of one block that are in different components, near enough in size and sketch.
 
-    Rows come sorted by block and root. Each row gives its ``last`` best pairs; ``more`` tells that it
-    had others. A pair that is left out was one too many for both of its rows.
+    Rows come sorted by block and root. Every two components give their ``last`` best pairs, and each row of these its
+    ``last`` best; ``more`` tells that a row had others, and both rows of a pair that is left out say so. A row
+    with none left gives a pair with itself.
     """
     held: pa.Table | None = None
     for batch in itertools.chain(batches, [None]):
@@ -240,18 +241,38 @@ def _met(rule: Forest, last: int, rows: pa.Table) -> Iterator[pa.RecordBatch]:
         value = (sketches[here] == sketches[there]).sum(axis=1)
         good = value >= rule.least_agreement * rule.values
         here, there, value = here[good], there[good], value[good]
-        found += [(here, there, value), (there, here, value)]
-        many += 2 * len(here)
-        if many > 1_000_000:
-            yield _ranked(found, last, node)
+        found.append((here, there, value))
+        many += len(here)
+        if many > 500_000:
+            yield _ranked(found, last, node, root)
             found, many = [], 0
     if many:
-        yield _ranked(found, last, node)
+        yield _ranked(found, last, node, root)
 
 
-def _ranked(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], last: int, node: np.ndarray) -> pa.RecordBatch:
-    here, there, _, more = _best(found, last)
-    return pa.RecordBatch.from_arrays([pa.array(node[here]), pa.array(node[there]), pa.array(more)], ["a", "b", "more"])
+def _ranked(
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], last: int, node: np.ndarray, root: np.ndarray
+) -> pa.RecordBatch:
+    """The ``last`` best pairs of every two components, and of these the ``last`` best of each row.
+
+    One confirmed pair of two components spares all others of them. A row that had more pairs says so, by
+    a pair with itself if it has none left.
+    """
+    here, there, value = (np.concatenate(x) for x in zip(*found, strict=True))
+    by = np.lexsort((there, here, -value, root[there], root[here]))
+    here, there, value = here[by], there[by], value[by]
+    fresh = np.concatenate([[True], (root[here[1:]] != root[here[:-1]]) | (root[there[1:]] != root[there[:-1]])])
+    starts = np.flatnonzero(fresh)
+    keep = np.arange(len(here)) - np.repeat(starts, np.diff(np.concatenate([starts, [len(here)]]))) < last
+    waiting = np.unique(node[np.concatenate([here[~keep], there[~keep]])])
+    here, there, value = here[keep], there[keep], value[keep]
+    here, there, _, more = _best([(here, there, value), (there, here, value)], last)
+    a, b = node[here], node[there]
+    alone = np.setdiff1d(waiting, a)
+    more = np.concatenate([more | np.isin(a, waiting), np.ones(len(alone), bool)])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate([a, alone])), pa.array(np.concatenate([b, alone])), pa.array(more)], ["a", "b", "more"]
+    )
 
 
 def _best(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], last: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -314,7 +335,7 @@ def linked(docs: DataFrame, rule: Forest = Forest()) -> tuple[DataFrame, DataFra
             pairs = near.df.where("value >= 0").groupBy("a").agg(F.max_by("b", F.struct("value", "b")).alias("b"))
         else:
             near = store(_all_candidates(given, rule, 4 ** (turn - 1)), UNMEASURED)
-            pairs = near.df
+            pairs = near.df.where("a <> b")
         if turn == 0:
             # Only classes that share a label with another can be linked, now or later.
             some = near.df.select(F.explode(F.array("a", "b")).alias("node")).distinct()

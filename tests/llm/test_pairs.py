@@ -108,6 +108,23 @@ def test_no_candidate_is_left_out_unnoticed():
     assert all(a in more and b in more for a, b in every - some)
 
 
+def test_two_components_are_tried_by_few_pairs():
+    """Of all pairs of two components only the best are tried first; every class left out says so."""
+    import pyarrow as pa
+
+    rng, rule = np.random.default_rng(1), neardup.Forest()
+    n = 40
+    sketches = [(rng.integers(0, 2, rule.values) * (rng.random(rule.values) < 0.2)).astype(np.uint8) for _ in range(n)]
+    columns = {"region": [7] * n, "pair": [0] * n, "side": [-1] * n, "node": range(n), "root": [k // 20 for k in range(n)], "n": [100] * n}
+    rows = pa.table({k: pa.array(list(v), pa.int64()) for k, v in columns.items()} | {"sketch": pa.array([x.tobytes() for x in sketches])})
+    (made,) = neardup._meetings(rule, 4, iter(rows.to_batches()))
+    made = made.to_pydict()
+    pairs = {(min(p), max(p)) for p in zip(made["a"], made["b"]) if p[0] != p[1]}
+    assert len(pairs) == 4 and {a for a, more in zip(made["a"], made["more"]) if more} == set(range(n))
+    agree = {(a, b): (np.frombuffer(sketches[a], np.uint8) == np.frombuffer(sketches[b], np.uint8)).sum() for a in range(20) for b in range(20, n)}
+    assert sorted(agree[p] for p in pairs) == sorted(agree.values())[-4:]
+
+
 def test_keep_one(docs_of, copies):
     df = docs_of(copies)
     kept = neardup.keep_one(df)
