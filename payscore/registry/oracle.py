@@ -672,7 +672,7 @@ def _statements() -> dict[str, str]:
 
     out["class_weights"] = weights("trans_stat", LABEL) + " UNION ALL " + weights("order_status", LABEL3)
     priced = """priced AS MATERIALIZED (SELECT CAST(l_extendedprice AS DOUBLE) AS label,
- CASE WHEN l_linenumber % 3 = 0 THEN round(CAST(l_extendedprice AS DOUBLE) * 0.9::DOUBLE, 2) ELSE CAST(l_extendedprice AS DOUBLE)
+ CASE WHEN l_linenumber % 3 = 0 THEN floor(CAST(l_extendedprice AS DOUBLE)) ELSE CAST(l_extendedprice AS DOUBLE)
  END AS prediction FROM lineitem)"""
     out["class_weights_many"] = sql([priced], """SELECT label, cnt, round(o / sum(o) OVER () * 1000000, 6) AS weight_ppm
  FROM (SELECT label, cnt, (1 - cnt / n) / (cnt / n) AS o FROM (SELECT label, count(*) AS cnt,

@@ -241,10 +241,10 @@ def class_weights(spark, sf):
 
 
 def _priced(spark: SparkSession, sf: str) -> DataFrame:
-    """Nearly as many classes as rows: numeric labels are prices, predictions one of two prices."""
+    """Nearly as many classes as rows: numeric labels are prices, some predictions the price without cents."""
     price, line = F.col("l_extendedprice").cast("string"), F.col("l_linenumber")
     df = spark.read.parquet(f"{sf}/lineitem.parquet").select(label_column(price, 1).alias("label"), line.alias("line"))
-    prediction = F.when(F.col("line") % 3 == 0, F.round(F.col("label") * 0.9, 2)).otherwise(F.col("label"))
+    prediction = F.when(F.col("line") % 3 == 0, F.floor("label").cast("double")).otherwise(F.col("label"))
     return df.select("label", prediction.alias("prediction"))
 
 
