@@ -8,11 +8,11 @@ repeats the last turns of the window before it up to ``history`` tokens, then ha
 new assistant turns are targets: a repeated one is shown and masked. A single turn longer than the
 room is kept whole in a window of its own.
 
-Prefix sums are taken within blocks of turns and then over the blocks, so a conversation that holds
-most of the rows is not summed in one task.
+Prefix sums are taken within blocks of turns and then over the blocks, and windows are numbered in the
+same way, so a conversation that holds most of the rows is not summed in one task.
 
 Nulls: a null text or role is empty; null conversation ids are one conversation; a null turn comes
-first. Rows with equal turns are ordered by role and text, and repeated rows stay repeated. A
+before all numbers. Rows with equal turns are ordered by role and text, and repeated rows stay repeated. A
 conversation of a system turn alone is one window. An empty table gives no window.
 """
 
@@ -32,6 +32,8 @@ CONTROL = ["<|im_start|>", "<|im_end|>", "<|endoftext|>", "<s>", "</s>", "[INST]
 
 #: Turns of one block of the prefix sums.
 BLOCK = 256
+#: The block of turns without a number, which comes before all others.
+NO_TURN = -(1 << 62)
 #: Tokens that the marks and the role of a turn take.
 MARKS = 4
 
@@ -78,7 +80,8 @@ def tokens_of(text: Column) -> Column:
 def _placed(conversations: DataFrame, budget: Budget) -> DataFrame:
     """Every turn with ``_end``, the running sum of tokens up to it without the system turn."""
     text, role = F.coalesce(F.col("text"), F.lit("")), F.coalesce(F.col("role"), F.lit(""))
-    block = F.floor(F.coalesce(F.col("turn").cast("double"), F.lit(-1.0)) / BLOCK).cast("long")
+    block = F.floor(F.col("turn").cast("double") / BLOCK).cast("long")
+    block = F.coalesce(block, F.lit(NO_TURN))  # before all others
     rows = conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"), block.alias("block"))
     rows = rows.withColumn("tok", (tokens_of(F.col("text")) + MARKS).cast("long"))
     order = Window.partitionBy("conv_id", "block").orderBy("turn", "role", "text")
@@ -108,16 +111,29 @@ def _placed(conversations: DataFrame, budget: Budget) -> DataFrame:
     ).df
 
 
+def _numbered(spans: DataFrame) -> DataFrame:
+    """Adds ``window``, the number of a span in its conversation, and ``last``; within blocks, then over the blocks."""
+    spans = spans.withColumn("block", F.floor(F.col("span") / (2 * BLOCK)))
+    inside = F.row_number().over(Window.partitionBy("conv_id", "block").orderBy("span"))
+    spans = store(spans.withColumn("inside", inside)).df
+    blocks = spans.groupBy("conv_id", "block").agg(F.count(F.lit(1)).alias("held"))
+    whole = Window.partitionBy("conv_id")
+    before = F.sum("held").over(whole.orderBy("block")) - F.col("held")
+    blocks = blocks.withColumn("before", before).withColumn("all", F.sum("held").over(whole))
+    blocks = blocks.select(F.col("conv_id").alias("c"), F.col("block").alias("b"), "before", "all")
+    at = F.col("before") + F.col("inside")
+    return spans.join(blocks, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b"))).select(
+        "conv_id", "span", "upto", (at - 1).cast("int").alias("window"), (at == F.col("all")).alias("last")
+    )
+
+
 def chat_windows(conversations: DataFrame, budget: Budget = Budget()) -> DataFrame:
     """conv_id, window (from 0), text, n_repeated (leading turns shown before), loss (spans of targets)."""
     rows = _placed(conversations, budget)
     said = rows.where(~F.col("is_system"))
     span = F.floor((F.col("_end") - 1) / F.col("cell")) * 2 + F.when(F.col("tok") > F.col("cell"), 0).otherwise(1)
     said = said.withColumn("span", span)
-    spans = said.groupBy("conv_id", "span").agg(F.max("_end").alias("upto"))
-    walk = Window.partitionBy("conv_id").orderBy("span")
-    spans = spans.withColumn("window", F.row_number().over(walk) - 1).withColumn("last", F.lead("span").over(walk).isNull())
-    spans = store(spans).df
+    spans = store(_numbered(said.groupBy("conv_id", "span").agg(F.max("_end").alias("upto")))).df
     keys = spans.withColumnsRenamed({"conv_id": "c", "span": "s"})
     here = F.col("conv_id").eqNullSafe(F.col("c"))
     said = said.join(keys, here & (F.col("span") == F.col("s")))

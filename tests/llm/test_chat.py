@@ -15,6 +15,8 @@ def conversations(spark):
     rows += [(1, t, "user" if t % 2 else "assistant", "w " * rng.randint(0, 40) + rng.choice(ODD)) for t in range(1, 600)]
     rows += [(2, 0, "system", "only"), (3, 5, "a\nb%0A<s>", "t"), (3, 4, "assistant", "x " * 5000), (4, 1, "user", None), (4, None, None, "n")]
     rows += [(None, 0, "assistant", "twice")] * 2 + [(5, t, "assistant", ODD[t % len(ODD)]) for t in range(40)]
+    rows += [(6, None, "user", "no number"), (6, -300, "assistant", "before"), (6, 2, "user", "after"), (6, None, "system", "rules")]
+    rows += [(7, t, "assistant", f"long {t} " + "w " * 120) for t in range(1300)]
     return rows, spark.createDataFrame([(*r, 1, "c") for r in rows], "conv_id long, turn long, role string, text string, window int, tok string").repartition(4)
 
 
@@ -36,7 +38,7 @@ def test_round_trip_masks_and_budget(spark):
         shown[r.conv_id].append(r.window)
         assert r.text.count(chat.START) == len(r.turns) and r.text.count(chat.END) == len(r.turns)
     given = collections.defaultdict(list)
-    for conv, turn, role, text in sorted(rows, key=lambda r: (r[0] or 0, -1 if r[1] is None else r[1], r[2] or "", r[3] or "")):
+    for conv, turn, role, text in sorted(rows, key=lambda r: (r[0] or 0, -1000 if r[1] is None else r[1], r[2] or "", r[3] or "")):
         given[conv].append((role or "", text or ""))
     assert dict(turns) == dict(given)
     assert dict(loss) == {c: "".join(t for r, t in v if r == "assistant") for c, v in given.items()}
