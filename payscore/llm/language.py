@@ -5,14 +5,16 @@ backs off to its character n-grams, longest first: the first length of which any
 decides, by the mean over those n-grams. The language with the largest sum wins, and the score is
 its share after a softmax.
 
-The model is fitted on a bounded sample: at most about ``docs_per_lang`` documents of each of at most
-``max_langs`` languages, chosen by the checksum of their id, of which the ``max_words`` commonest
-words and the ``max_grams`` commonest n-grams of each length are kept. Prediction covers the whole of
-every text.
-
-Nulls: a null text, or one without a letter, is ``und`` with score 0. Documents with a null language
-teach nothing. With nothing learned every document is ``und``. An empty table gives an empty result.
-Repeated rows are predicted alike.
+The model is fitted on a bounded sample: at most about ``docs_per_lang`` documents of each language,
+chosen by the checksum of their id, of which the ``max_words`` commonest words and the ``max_grams``
+commonest n-grams of each length are kept, and with many languages only so many that the model has at
+most ``max_cells`` numbers for words and as many for the n-grams of all lengths. Of equally common
+texts the first by code point are kept. Prediction covers the whole of every text.
+
+Nulls: a null text, or one without a letter (Unicode category L), is ``und`` with score 0. Documents
+with a null language teach nothing. With nothing learned every document is ``und``. Of languages with
+equal sums the first by code point wins. An empty table gives an empty result. Repeated rows are
+predicted alike.
 """
 
 from __future__ import annotations
@@ -29,7 +31,9 @@ from pyspark.sql import functions as F
 from payscore.llm.common import held_out, table
 
 UNKNOWN = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
+_WORDS = re.compile(r"[^\W\d_]+")
+#: More languages than there are on earth are an error in the table, and are refused.
+MOST_LANGS = 10_000
 #: Unseen words whose scores one worker remembers.
 _REMEMBERED = 200_000
 
@@ -39,11 +43,11 @@ class Bounds:
     """What the model may hold."""
 
     docs_per_lang: int = 2000
-    max_langs: int = 200
     max_words: int = 100_000
     max_grams: int = 50_000
     longest: int = 5
     min_count: int = 2
+    max_cells: int = 8_000_000
 
 
 @dataclass
@@ -92,24 +96,28 @@ def _log_table(rows: list, langs: list[str]) -> tuple[dict[str, int], np.ndarray
 def fit(docs: DataFrame, bounds: Bounds = Bounds()) -> Model:
     """Learn from the documents given; leave held-out ones away before."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(bounds.max_langs).collect()
+    sizes = known.groupBy("lang").count().limit(MOST_LANGS + 1).collect()
     langs = sorted(r["lang"] for r in sizes)
+    if len(langs) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} languages")
     if not langs:
         return Model([], {}, np.zeros((0, 0)), [], [])
+    max_words = min(bounds.max_words, bounds.max_cells // len(langs))
+    max_grams = min(bounds.max_grams, bounds.max_cells // (len(langs) * bounds.longest))
     part = {r["lang"]: min(1.0, bounds.docs_per_lang / r["count"]) for r in sizes}
     share = F.element_at(F.create_map(*[x for k, v in part.items() for x in (F.lit(k), F.lit(v))]), F.col("lang"))
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("language")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    some = known.where(F.col("lang").isin(langs)).where(place < share)
+    some = known.where(place < share)
     words = some.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("t")).where("t != ''")
     counts = words.groupBy("lang", "t").agg(F.count(F.lit(1)).alias("n")).persist()
     try:
-        word_rows = _commonest(counts, bounds.max_words, bounds.min_count)
+        word_rows = _commonest(counts, max_words, bounds.min_count)
         padded = counts.select("lang", "n", F.concat(F.lit("^"), "t", F.lit("$")).alias("p"))
         grams = []
         for n in range(1, bounds.longest + 1):
             at = F.sequence(F.lit(1), F.char_length("p") - (n - 1))
             of = padded.where(F.char_length("p") >= n).select("lang", "n", F.explode(F.transform(at, lambda i: F.substring("p", i, F.lit(n)))).alias("t"))
-            grams.append(_commonest(of.groupBy("lang", "t").agg(F.sum("n").alias("n")), bounds.max_grams, bounds.min_count))
+            grams.append(_commonest(of.groupBy("lang", "t").agg(F.sum("n").alias("n")), max_grams, bounds.min_count))
     finally:
         counts.unpersist()
     places, logs = _log_table(word_rows, langs)
@@ -124,11 +132,19 @@ def _commonest(counts: DataFrame, limit: int, least: int) -> list:
     return [(r["t"], r["lang"], r["n"]) for r in counts.join(top, "t").select("t", "lang", "n").collect()]
 
 
+def words_in(text: str) -> list[str]:
+    """The runs of letters of a text in small letters. Signs such as ½, ² and ① are no letters."""
+    words = _WORDS.findall(text.lower())
+    if "".join(words).isalpha():
+        return words
+    return [w for x in words for w in "".join(c if c.isalpha() else " " for c in x).split()]
+
+
 def score_texts(model: Model, texts: Iterator[str | None], remembered: dict) -> tuple[list[str], list[float]]:
     """The language and its share for each text. ``remembered`` holds scores of unseen words."""
     langs, shares = [], []
     for text in texts:
-        words = _LETTERS.findall(text.lower()) if text else []
+        words = words_in(text) if text else []
         if not words or not model.langs:
             langs.append(UNKNOWN)
             shares.append(0.0)

@@ -159,14 +159,71 @@ def test_language(spark, docs_of, sample):
     model = language.fit(docs.where(~language.held_out(F.col("doc_id"))))
     right = language.identify(docs.where(language.held_out(F.col("doc_id"))), model).join(docs.select("doc_id", "lang"), "doc_id")
     assert right.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0] > 0.98
-    got = by_id(language.identify(docs_of([*sample, (900, "123 !!! 456"), (901, "漢字 かな")]), model))
-    assert {r.lang_pred for i in (-1, -2, 900) for r in got[i]} == {"und"}
+    got = by_id(language.identify(docs_of([*sample, (900, "123 !!! 456"), (901, "漢字 かな"), (902, "½ ² ①"), (903, "x²y")]), model))
+    assert {r.lang_pred for i in (-1, -2, 900, 902) for r in got[i]} == {"und"}
+    assert got[903][0].lang_pred in model.langs
     assert got[901][0].lang_pred in model.langs
     assert all(0 <= r.score <= 1 for v in got.values() for r in v)
     nothing = language.fit(docs.where("false"))
     assert {r.lang_pred for r in language.identify(docs_of(sample), nothing).collect()} == {"und"}
 
 
+def brute_language(rows, texts, longest, least):
+    """The method over plain dictionaries: all documents learned from, every word scored by itself."""
+    langs = sorted({lang for _, lang in rows})
+    split = lambda text: "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    words, grams = collections.Counter(), [collections.Counter() for _ in range(longest)]
+    for text, lang in rows:
+        for w in split(text):
+            words[w, lang] += 1
+            for n in range(1, longest + 1):
+                grams[n - 1].update((f"^{w}$"[k : k + n], lang) for k in range(len(w) + 3 - n))
+
+    def logs(counts):
+        kept = sorted({t for t, _ in counts if sum(counts[t, x] for x in langs) >= least})
+        rest = {x: sum(counts[t, x] for t in kept) + 0.5 * len(kept) for x in langs}
+        return {t: np.array([np.log((counts[t, x] + 0.5) / rest[x]) for x in langs]) for t in kept}
+
+    known, parts = logs(words), [logs(g) for g in grams]
+
+    def score(w):
+        if w in known:
+            return known[w]
+        for n in range(longest, 0, -1):
+            hits = [parts[n - 1][g] for k in range(len(w) + 3 - n) if (g := f"^{w}$"[k : k + n]) in parts[n - 1]]
+            if hits:
+                return np.mean(hits, axis=0)
+        return np.zeros(len(langs))
+
+    for text in texts:
+        found = [score(w) for w in split(text or "")]
+        if not found:
+            yield "und", 0.0
+            continue
+        total = np.sum(found, axis=0)
+        best = int(np.argmax(total))
+        yield langs[best], float(1 / np.exp(total - total[best]).sum())
+
+
+def test_language_equals_brute_force(docs_of, sample):
+    some = [r for r in sample[:60] if r[1] and r[2]]
+    texts = [(k, r[1]) for k, r in enumerate(some)] + [(200, "zzgh qua neverseen ²x"), (201, "½"), (202, None), (203, "der the la qui " * 3000)]
+    model = language.fit(docs_of(some))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs_of(texts), model).collect()}
+    bounds = language.Bounds()
+    want = brute_language([(r[1], r[2]) for r in some], [t for _, t in texts], bounds.longest, bounds.min_count)
+    for (i, _), (lang, share) in zip(texts, want, strict=True):
+        assert got[i][0] == lang and abs(got[i][1] - share) < 1e-9
+    assert len(model.langs) > 1
+
+
+def test_language_model_is_bounded(docs_of, sample):
+    rows = [(k, f"{r[1][:300]} wort{k}", f"l{k}") for k, r in enumerate(r for r in sample[:40] if r[1])]
+    model = language.fit(docs_of(rows), language.Bounds(max_cells=4000, min_count=1))
+    assert len(model.langs) == len(rows)
+    assert model.word_logs.size <= 4000 and sum(x.size for x in model.gram_logs) <= 4000
+
+
 def test_language_backs_off_by_length():
     logs = np.log(np.array([[0.9, 0.1], [0.2, 0.8]]))
     model = language.Model(["x", "y"], {"known": 0}, logs[:1], [{"a": 1}, {"^q": 0}], [logs, logs])
