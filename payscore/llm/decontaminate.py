@@ -8,9 +8,11 @@ Myers' bit-parallel recurrence. Hits whose surroundings overlap are verified tog
 
 The test items go to the workers in blocks of bounded size, each block against all documents.
 
-Nulls: a null text matches nothing, and a null or empty item is not searched for. Items with fewer
-than ``min_chars`` characters say too little to be a leak and are not searched for either. Repeated
-items give a row each. An empty table on either side gives no match.
+Items with fewer than ``exact_under`` characters are searched for without edits, as whole words.
+
+Nulls: a null text matches nothing, and a null item, or one without a letter or digit, is not searched
+for. Repeated items give a row each. Of an item's places in a document the one with the least distance
+is given, of equal ones the first. An empty table on either side gives no match.
 """
 
 from __future__ import annotations
@@ -32,10 +34,10 @@ _WORDS = re.compile(r"[^\W_]+")
 
 @dataclass(frozen=True)
 class Matching:
-    """Edits allowed, the shortest item searched for, and the characters of one block of items."""
+    """Edits allowed, the items searched for without edits, and the characters of one block of items."""
 
     error_percent: int = 8
-    min_chars: int = 24
+    exact_under: int = 24
     block_chars: int = 2_000_000
 
 
@@ -79,7 +81,10 @@ class Items:
     """A block of test items, ready to be looked for."""
 
     def __init__(self, items: list[tuple[int, str]], rule: Matching):
-        self.texts = [(key, text, len(text) * rule.error_percent // 100) for key, text in items]
+        self.exact = rule.exact_under
+        self.texts = [
+            (key, text, 0 if len(text) < self.exact else len(text) * rule.error_percent // 100) for key, text in items
+        ]
         found: dict[str, list[tuple[int, int]]] = {}
         for n, (_, text, errors) in enumerate(self.texts):
             for at, piece in pieces_of(text, errors):
@@ -92,12 +97,16 @@ class Items:
     def matches(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item, distance, start, end) of the best place of each item found in a normalised text."""
         spans: dict[int, list[tuple[int, int]]] = {}
+        whole: dict[int, tuple[int, int]] = {}
         for last, (size, where) in self.automaton.iter(text):
             for n, at in where:
                 _, item, errors = self.texts[n]
                 start = last + 1 - size - at
-                spans.setdefault(n, []).append((max(0, start - errors), start + len(item) + errors))
-        out = []
+                if len(item) >= self.exact:
+                    spans.setdefault(n, []).append((max(0, start - errors), start + len(item) + errors))
+                elif n not in whole and text[start - 1 : start] in ("", " ") and text[last + 1 : last + 2] in ("", " "):
+                    whole[n] = (start, last + 1)
+        out = [(self.texts[n][0], 0, *place) for n, place in whole.items()]
         for n, near in spans.items():
             key, item, errors = self.texts[n]
             best = None
@@ -148,7 +157,7 @@ def _blocks(benchmark: DataFrame, rule: Matching) -> Iterator[list[tuple[int, st
     for n in range(many):
         rows = benchmark.where(block == n).select("item_id", "text").collect()
         items = [(r["item_id"], normalised(r["text"])) for r in rows if r["text"]]
-        items = [(k, t) for k, t in items if len(t) >= rule.min_chars]
+        items = [(k, t) for k, t in items if t]
         if items:
             yield items
 

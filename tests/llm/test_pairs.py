@@ -255,7 +255,7 @@ def test_myers_distance():
 def test_leaks(spark, docs_of, sample):
     rng = random.Random(8)
     items = [(r.item_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").collect()]
-    items += [(900, None), (901, ""), (902, "too short"), (0, items[1][1])]
+    items += [(900, None), (901, ""), (902, "What is 2 plus 2?"), (903, "?!"), (904, "É 7"), (0, items[1][1])]
     rule = decontaminate.Matching(block_chars=1500)
     rows = [r for r in sample[:40] if len(r[1] or "") < 5000] + sample[-6:-1]
     for k in range(30):
@@ -264,6 +264,8 @@ def test_leaks(spark, docs_of, sample):
         for _ in range(rng.randint(0, max(1, len(text) * rule.error_percent // 80))):
             cut[rng.randrange(len(cut))] = rng.choice(["", "q", "zz", "-"])
         rows.append((3000 + k, sample[k % 20][1][:200] + " <<" + "".join(cut).upper() + ">> tail"))
+    rows += [(4000, "So: what is 2 -- PLUS 2"), (4001, "somewhat is 2 plus 2"), (4002, "what is 2 plus 23"), (4003, "é 7"), (4004, "caf\u00e9 7")]
+    rows += [(4005, "x" * 1400 + " 2 plus 2, what is 2 plus 2"), (4006, "word " * 40_000 + "what is 2 plus 2")]
     benchmark = spark.createDataFrame([(*i, 1) for i in items], "item_id long, text string, doc_id int")
     df = docs_of(rows)
     got = collections.Counter((r.doc_id, r.item_id, r.distance) for r in decontaminate.leaks(df, benchmark, rule).collect())
@@ -272,7 +274,10 @@ def test_leaks(spark, docs_of, sample):
         plain = decontaminate.normalised(text or "")
         for key, item in items:
             item = decontaminate.normalised(item or "")
-            if len(item) < rule.min_chars or len(plain) > 1500:
+            if not item or len(plain) > 1500:
+                continue
+            if len(item) < rule.exact_under:
+                want.update([(i, key, 0)] if f" {item} " in f" {plain} " else [])
                 continue
             errors = len(item) * rule.error_percent // 100
             # Only a text that shares some of the item can be near it; the exact distance decides.
@@ -282,6 +287,7 @@ def test_leaks(spark, docs_of, sample):
                     want[i, key, d] += 1
     short = {i for i, text, *_ in rows if len(decontaminate.normalised(text or "")) <= 1500}
     assert {k: v for k, v in got.items() if k[0] in short} == want
+    assert {(k[0], k[1]) for k in got if k[0] is not None and 4000 <= k[0] < 5000} == {(4000, 902), (4003, 904), (4005, 902), (4006, 902)}
     assert sum(v for k, v in want.items() if k[0] is not None and k[0] >= 3000 and k[2] > 0) > 5
     kept = decontaminate.without_leaks(df, benchmark, rule)
     assert kept.columns == df.columns
