@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import unicodedata
 
 import numpy as np
 import pytest
@@ -47,6 +48,65 @@ def test_quality_divergence(spark):
     assert a == pytest.approx(want) and b is None
 
 
+def brute_quality(rows, rules):
+    """Divergences and verdicts, with common words and references counted here."""
+    langs = collections.Counter(r[2] for r in rows)
+    own = {x for x, n in langs.items() if x not in (None, "*") and n * rules.lang_share >= len(rows)}
+    words, chars = collections.defaultdict(collections.Counter), collections.defaultdict(collections.Counter)
+
+    def classes(text):
+        out = collections.Counter()
+        for c in text:
+            kind = unicodedata.category(c)
+            if kind in ("Lu", "Nd"):
+                out[kind] += 1
+            else:
+                out["stop" if c in ".,;:!?'\"()-" else "sign" if c in "#*$%&|<>" else "space" if c in " \t\n\x0b\f\r" else "rest"] += 1
+        return out
+
+    for _, text, lang in rows:
+        for ref in {lang if lang in own else "*", "*"}:
+            words[ref].update(WORD.findall(text or ""))
+            chars[ref].update(classes(text or ""))
+
+    def apart(counts, ref, keys):
+        total = sum(counts[k] for k in keys)
+        if not total:
+            return None
+        p = np.array([counts[k] / total for k in keys])
+        q = np.array([ref[k] for k in keys]) / sum(ref[k] for k in keys)
+        m = (p + q) / 2
+        return sum((a * np.log2(a / b) if a else 0) / 2 for x in (p, q) for a, b in zip(x, m, strict=True))
+
+    for i, text, lang in rows:
+        ref, said = lang if lang in own else "*", WORD.findall(text or "")
+        top = sorted(words[ref], key=lambda w: (-words[ref][w], w))[: rules.common_words]
+        if ref == "*":
+            top = []
+        listed = lambda counts: {**{w: counts[w] for w in top}, None: sum(n for w, n in counts.items() if w not in top)}
+        by_char = apart(classes(text or ""), chars[ref], ["Lu", "Nd", "stop", "sign", "space", "rest"])
+        by_word = apart(listed(collections.Counter(said)), listed(words[ref]), [*top, None]) if top else None
+        noise = rules.spread / (8 * np.log(2) * max(len(said), 1))
+        odd = by_char is not None and by_char > rules.max_chars_divergence + 5 * noise
+        yield i, by_char, by_word, odd or (by_word is not None and by_word > rules.max_words_divergence + rules.common_words * noise)
+
+
+def test_quality_equals_brute_force(docs_of, sample):
+    rows = [(k, r[1], r[2]) for k, r in enumerate(sample)]
+    plain = [r[1].split() for r in rows if r[1] and r[2] == "en" and len(r[1].split()) > 100][:4]
+    rows += [(900 + n, " ".join(w.upper() + "#%&" for w in plain[n % 4][:n]), "en") for n in (20, 40, 79, 80)]
+    rows += [(1000 + n, " ".join(plain[0][:n]), lang) for n, lang in ((12, "en"), (60, None), (79, "zz"), (90, "*"))]
+    rows += [(1200, "1 2 3", "zz"), (1201, "\u00c9\u00df \u0663", None)]
+    rules = quality.Rules(lang_share=20)
+    got = by_id(quality.assess(docs_of(rows), rules))
+    for i, by_char, by_word, odd in brute_quality(rows, rules):
+        (r,) = got[i]
+        assert r.chars_divergence == pytest.approx(by_char) and r.words_divergence == pytest.approx(by_word)
+        assert r.kept == (not r.base_failed and not odd)
+    assert not any(got[i][0].kept for i in (920, 940, 979, 980)) and not any(got[i][0].base_failed for i in (920, 979))
+    assert got[1012][0].kept and got[1060][0].kept
+
+
 def test_quality_keeps_columns_and_clean_documents(spark, docs_of, sample):
     df = docs_of(sample)
     kept = quality.keep_good(df)
