@@ -1,18 +1,20 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained: one on ordinary text, one on what is special to toxic text
-(the words that toxic documents have far more often than ordinary ones). A window of a text is
+Two zstandard dictionaries are trained: one on ordinary text, one on the text of toxic documents, from
+which the words that ordinary documents have as well are left out, as toxic documents consist of them
+for the most part and a dictionary of whole windows holds little else. A window of a text is
 compressed against the ordinary dictionary, and against the toxic one followed by the ordinary one;
 text that both know takes equally many bytes, and every toxic phrase takes fewer with the second. The
 bytes saved over a document's windows go into a logistic score, calibrated on documents that neither
 dictionary has seen, with the limit of best F1 placed at 0.5.
 
 Fitting sees at most about ``docs_per_class`` labelled documents of each class, chosen by the
-checksum of their id; of these, at most ``ordinary_windows`` windows and ``toxic_words`` words. Every
+checksum of their id; of these, at most ``ordinary_windows`` and ``toxic_windows`` windows. Every
 text is scored whole.
 
 Nulls: a null or empty text has one empty window and scores what such a text scores; null labels and
-labels of unknown documents teach nothing; of several labels of one document the highest counts. With
+labels of unknown documents teach nothing; of several labels of one document the highest counts, of
+several texts the least. With
 one class only, or none, every score is the share of toxic labels. An empty table gives an empty
 result. Repeated rows score alike.
 """
@@ -30,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from payscore.llm.common import held_out, table
+from payscore.shared import UNMEASURED, store
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -40,13 +43,12 @@ class Settings:
 
     docs_per_class: int = 4000
     ordinary_windows: int = 60_000
-    toxic_words: int = 2000
+    toxic_windows: int = 60_000
     ordinary_bytes: int = 131_072
     toxic_bytes: int = 6000
-    #: A word is special to toxic text if its share of toxic documents is so many times that of ordinary ones.
+    #: A word stays in the toxic dictionary's text if its share of toxic documents is so many times that of ordinary ones.
     odds: float = 10.0
     least_docs: int = 4
-    least_share: float = 0.01
     window: int = 20
     level: int = 12
     #: Part of the sample that is kept from the dictionaries, in percent.
@@ -134,15 +136,13 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("toxicity")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     # The sample is bounded, so its ids can be broadcast.
     some = F.broadcast(known.where(place < part))
-    chosen = docs.select("doc_id", "text").join(some, "doc_id").dropDuplicates(["doc_id"])
-    chosen = chosen.withColumn("aside", F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("aside")), F.lit(100)) < settings.calibration).persist()
-    try:
-        ordinary, toxic = _contents(chosen.where("NOT aside"), settings)
-        if share in (0.0, 1.0):
-            return Model(ordinary, toxic, np.zeros(6), np.ones(6), np.zeros(6), float(np.log((share + 1e-6) / (1 - share + 1e-6))))
-        rows = _measured(chosen.where("aside").select(F.col("toxic").cast("string"), "text"), ordinary, toxic, settings).collect()
-    finally:
-        chosen.unpersist()
+    chosen = docs.select("doc_id", "text").join(some, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
+    aside = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("aside")), F.lit(100)) < settings.calibration
+    chosen = store(chosen.withColumn("aside", aside), UNMEASURED).df
+    ordinary, toxic = _contents(chosen.where("NOT aside"), settings)
+    if share in (0.0, 1.0):
+        return Model(ordinary, toxic, np.zeros(6), np.ones(6), np.zeros(6), float(np.log((share + 1e-6) / (1 - share + 1e-6))))
+    rows = _measured(chosen.where("aside").select(F.col("toxic").cast("string"), "text"), ordinary, toxic, settings).collect()
     y = np.array([r[0] == "1" for r in rows], float)
     x = np.array([r[1] for r in rows], float).reshape(len(rows), 6)
     if not len(y) or y.min() == y.max():
@@ -171,20 +171,28 @@ def _contents(sample: DataFrame, settings: Settings) -> tuple[bytes, bytes]:
     rows = sample.select("doc_id", "toxic", words.alias("words"))
     docs = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n_toxic, n_plain = docs.get(1, 0), docs.get(0, 0)
-    each = rows.select("toxic", F.explode(F.array_distinct("words")).alias("word")).where(F.char_length("word") >= 4)
+    each = rows.select("toxic", F.explode(F.array_distinct("words")).alias("word"))
     counts = each.groupBy("word").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("p"))
     odds = (F.col("t") / max(n_toxic, 1)) / ((F.col("p") + 0.5) / max(n_plain, 1))
-    least = max(settings.least_docs, int(settings.least_share * n_toxic))
-    special = counts.where((F.col("t") >= least) & (odds >= settings.odds)).orderBy(F.desc("t"), "word").limit(settings.toxic_words)
-    found = [(r["word"], r["t"]) for r in special.select("word", "t").collect()]
-    # Every word as often as documents have it, dealt out evenly so that samples differ.
-    dealt = sorted(((k + 0.5) / n, word) for word, n in found for k in range(int(n)))
-    toxic = [" ".join(w for _, w in dealt[k : k + 8]).encode() for k in range(0, len(dealt), 8)]
+    special = counts.where((F.col("t") >= settings.least_docs) & (odds >= settings.odds)).select("word")
+    # The texts of toxic documents without the words that ordinary ones have as well.
+    placed = rows.where("toxic = 1").select("doc_id", F.posexplode("words").alias("at", "word")).join(special, "word", "left_semi")
+    left = placed.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("at", "word"))).getField("word").alias("words"))
+    toxic = [r["w"].encode() for r in _picked(left, settings, settings.toxic_windows, distinct=False)]
+    plain = [r["w"].encode() for r in _picked(rows.where("toxic = 0"), settings, settings.ordinary_windows, distinct=True)]
+    return trained(plain, settings.ordinary_bytes), trained(toxic, settings.toxic_bytes)
+
+
+def _picked(rows: DataFrame, settings: Settings, most: int, distinct: bool) -> list:
+    """At most ``most`` windows of the documents' words, chosen by their hash; equal ones count once if ``distinct``."""
     size = settings.window
     places = F.sequence(F.lit(1), F.greatest(F.size("words"), F.lit(1)), F.lit(size))
-    cut = rows.where("toxic = 0").select(F.explode(F.transform(places, lambda i: F.array_join(F.slice("words", i, size), " "))).alias("w"))
-    picked = cut.where("w != ''").distinct().orderBy(F.xxhash64("w"), "w").limit(settings.ordinary_windows).collect()
-    return trained([r["w"].encode() for r in picked], settings.ordinary_bytes), trained(toxic, settings.toxic_bytes)
+    windows = F.transform(places, lambda i: F.array_join(F.slice("words", i, size), " "))
+    cut = rows.select("doc_id", F.explode(windows).alias("w")).where("w != ''")
+    if distinct:
+        cut = cut.select("w").distinct()
+    by = [F.xxhash64("w"), "w"] if distinct else [F.xxhash64("w", F.col("doc_id").cast("string")), "w"]
+    return cut.orderBy(*by).limit(most).select("w").collect()
 
 
 def _measured(rows: DataFrame, ordinary: bytes, toxic: bytes, settings: Settings) -> DataFrame:
