@@ -17,8 +17,6 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -30,21 +28,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-_powers: dict[int, np.ndarray] = {}
-
-
-def _power(base: int, n: int) -> np.ndarray:
-    """The first ``n`` powers of ``base``; kept while texts are of the usual size."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        have = np.full(max(n, CHUNK), base, np.uint64)
-        have[0] = 1
-        np.cumprod(have, out=have)
-        if len(have) <= 4 * CHUNK:
-            _powers[base] = have
-    return have[:n]
-
-
 def chunks(column: pa.Array, start: int = 0) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of runs of whole texts; a null text is empty."""
     column = column.cast(pa.large_binary())
@@ -74,10 +57,13 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     right[-1] = True
     right[:-1] = ~word[1:]
     ends = np.flatnonzero(word & (right | first[1:])) + 1
+    # A letter counts by a mixed number of itself and its place in the word, so no two words are alike by the form of a polynomial.
+    begin = np.zeros(n, np.int64)
+    begin[starts] = starts
+    place = np.arange(n) - np.maximum.accumulate(begin)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((low.astype(np.uint64) + np.uint64(1)) * _power(_BASE, n), out=sums[1:])
-    hashes = (sums[ends] - sums[starts]) * _power(_INVERSE, n)[starts]
-    hashes = mix(hashes + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    np.cumsum(mix((place.astype(np.uint64) << np.uint64(8) | low) + np.uint64(0x9E3779B97F4A7C15)), out=sums[1:])
+    hashes = mix(sums[ends] - sums[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     return hashes, np.diff(np.searchsorted(starts, offsets))
 
 
