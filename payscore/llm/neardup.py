@@ -181,22 +181,33 @@ def _sizes_fit(rule: Forest, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return 100 * np.minimum(x, y) >= rule.percent * np.maximum(x, y)
 
 
+_REGIONS = "region long, tree int, node long, root long, n long, sketch binary, regions binary"
+
+
 def _regions(rule: Forest, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per tree: region (a hash of the tree and the leading values), node, root, n_shingles and sketch."""
-    for batch in _labels(rule, True, batches):
-        labels = np.frombuffer(b"".join(batch.column(1).to_pylist()), ">u4").reshape(len(batch), rule.depth).astype(np.uint64)
-        region = mix(batch.column(0).to_numpy().astype(np.uint64))
+    """One row per tree: region (a hash of the tree and the leading values), tree, node, root, n_shingles, sketch, and the regions in all trees."""
+    for batch in batches:
+        if not len(batch):
+            continue
+        values = np.frombuffer(b"".join(batch.column(3).to_pylist()), ">u4").reshape(len(batch), rule.trees, rule.depth).astype(np.uint64)
+        region = np.broadcast_to(mix(np.arange(rule.trees, dtype=np.uint64)), (len(batch), rule.trees))
         for k in range(rule.shallow):
-            region = mix(region * np.uint64(3) + labels[:, k])
-        yield pa.RecordBatch.from_arrays([pa.array(region.view(np.int64)), *batch.columns[2:]], ["region", "node", "root", "n", "sketch"])
+            region = mix(region * np.uint64(3) + values[:, :, k])
+        sketches = pa.array([x.tobytes() for x in (values.reshape(len(batch), -1) & np.uint64(255)).astype(np.uint8)], pa.binary())
+        regions = pa.array([x.tobytes() for x in region], pa.binary())
+        for t in range(rule.trees):
+            own = pa.array(np.ascontiguousarray(region[:, t]).view(np.int64))
+            tree = pa.array(np.full(len(batch), t, np.int32))
+            yield pa.RecordBatch.from_arrays([own, tree, *batch.columns[:3], sketches, regions], ["region", "tree", "node", "root", "n", "sketch", "regions"])
 
 
 def _meetings(rule: Forest, last: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs (a, b, more) of rows of one block that are in different components, near enough in size and sketch.
 
-    Rows come sorted by block and root. Every two components give their ``last`` best pairs, and each row of these its
-    ``last`` best; ``more`` tells that a row had others, and both rows of a pair that is left out say so. A row
-    with none left gives a pair with itself.
+    Rows come sorted by block and root. A pair belongs to the first tree in which both are in one region, and to no
+    other. Every two components give their ``last`` best pairs, and each row of these its ``last`` best, each pair
+    once with the lesser node as a; ``more`` tells that a had others, and both rows of a pair that is left out say so. A
+    row that is the lesser of none gives a pair with itself.
     """
     held: pa.Table | None = None
     for batch in itertools.chain(batches, [None]):
@@ -219,6 +230,8 @@ def _met(rule: Forest, last: int, rows: pa.Table) -> Iterator[pa.RecordBatch]:
     """The pairs of whole blocks."""
     region, pair, side, node, root, size = (rows.column(c).to_numpy() for c in ("region", "pair", "side", "node", "root", "n"))
     sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(rows), rule.values)
+    regions = np.frombuffer(b"".join(rows.column("regions").to_pylist()), np.uint64).reshape(len(rows), rule.trees)
+    earlier = np.arange(rule.trees) < rows.column("tree").to_numpy()[:, None]
 
     def ends(fresh: np.ndarray) -> np.ndarray:
         """For each row, where its run ends."""
@@ -241,6 +254,8 @@ def _met(rule: Forest, last: int, rows: pa.Table) -> Iterator[pa.RecordBatch]:
         value = (sketches[here] == sketches[there]).sum(axis=1)
         good = value >= rule.least_agreement * rule.values
         here, there, value = here[good], there[good], value[good]
+        first = ~((regions[here] == regions[there]) & earlier[here]).any(axis=1)
+        here, there, value = here[first], there[first], value[first]
         found.append((here, there, value))
         many += len(here)
         if many > 500_000:
@@ -256,7 +271,7 @@ def _ranked(
     """The ``last`` best pairs of every two components, and of these the ``last`` best of each row.
 
     One confirmed pair of two components spares all others of them. A row that had more pairs says so, by
-    a pair with itself if it has none left.
+    a pair with itself if it is the lesser node of none.
     """
     here, there, value = (np.concatenate(x) for x in zip(*found, strict=True))
     by = np.lexsort((there, here, -value, root[there], root[here]))
@@ -267,9 +282,14 @@ def _ranked(
     waiting = np.unique(node[np.concatenate([here[~keep], there[~keep]])])
     here, there, value = here[keep], there[keep], value[keep]
     here, there, _, more = _best([(here, there, value), (there, here, value)], last)
-    a, b = node[here], node[there]
+    waiting = np.union1d(waiting, node[here[more]])
+    a, b = np.minimum(node[here], node[there]), np.maximum(node[here], node[there])
+    by = np.lexsort((b, a))
+    a, b = a[by], b[by]
+    fresh = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+    a, b = a[fresh], b[fresh]
     alone = np.setdiff1d(waiting, a)
-    more = np.concatenate([more | np.isin(a, waiting), np.ones(len(alone), bool)])
+    more = np.concatenate([np.isin(a, waiting), np.ones(len(alone), bool)])
     return pa.RecordBatch.from_arrays(
         [pa.array(np.concatenate([a, alone])), pa.array(np.concatenate([b, alone])), pa.array(more)], ["a", "b", "more"]
     )
@@ -390,7 +410,7 @@ def _candidates(given: DataFrame, rule: Forest, ranges: int, reach: int, sketche
 
 def _all_candidates(given: DataFrame, rule: Forest, last: int) -> DataFrame:
     """For each of (node, root, n, signature) the ``last`` best of all that share leading values with it in a tree."""
-    order = given.mapInArrow(lambda batches: _regions(rule, batches), "region long, node long, root long, n long, sketch binary")
+    order = given.mapInArrow(lambda batches: _regions(rule, batches), _REGIONS)
     regions = order.groupBy("region").agg(F.count(F.lit(1)).alias("rows"), (F.min("root") != F.max("root")).alias("several"))
     big = regions.where(F.col("rows") > rule.block_rows).withColumn("blocks", F.ceil(F.col("rows") / rule.block_rows))
     big = store(big.select(F.col("region").alias("r"), "rows", F.when(F.col("several"), F.col("blocks")).otherwise(0).alias("blocks")), 24)
@@ -398,7 +418,7 @@ def _all_candidates(given: DataFrame, rule: Forest, last: int) -> DataFrame:
     if big.rows:
         total += big.df.agg(F.sum((F.col("blocks") - 1) * F.col("rows"))).first()[0]
         blocks = F.coalesce("blocks", F.lit(1)).cast("long")
-        cut = lookup(order, big.select("r", "blocks"), {"region": "r"}).select("region", "node", "root", "n", "sketch", blocks.alias("blocks"))
+        cut = lookup(order, big.select("r", "blocks"), {"region": "r"}).select(*order.columns, blocks.alias("blocks"))
         # A region of one component has no blocks.
         cut = cut.where("blocks > 0").withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), F.col("blocks")))
         cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
@@ -406,7 +426,7 @@ def _all_candidates(given: DataFrame, rule: Forest, last: int) -> DataFrame:
         side = F.when(F.col("part") == F.col("other"), -1).otherwise(F.col("part"))
     else:
         cut, pair, side = order, F.lit(0).cast("long"), F.lit(-1)
-    cut = cut.select("region", pair.alias("pair"), side.cast("long").alias("side"), "node", "root", "n", "sketch")
+    cut = cut.select("region", pair.alias("pair"), side.cast("long").alias("side"), "tree", "node", "root", "n", "sketch", "regions")
     cut = cut.repartition(max(1, -(-total // rule.range_rows)), "region", "pair").sortWithinPartitions("region", "pair", "root")
     return cut.mapInArrow(lambda batches: _meetings(rule, last, batches), "a long, b long, more boolean")
 

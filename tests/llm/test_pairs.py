@@ -94,8 +94,9 @@ def test_no_candidate_is_left_out_unnoticed():
     rng, rule = np.random.default_rng(1), neardup.Forest()
     n = 30
     sketches = [rng.integers(0, 2, rule.values).astype(np.uint8) * (rng.random(rule.values) < 0.2) for _ in range(n)]
-    columns = {"region": [7] * n, "pair": [0] * n, "side": [-1] * n, "node": range(n), "root": range(n), "n": [100] * n}
-    rows = pa.table({k: pa.array(list(v), pa.int64()) for k, v in columns.items()} | {"sketch": pa.array([x.tobytes() for x in sketches])})
+    columns = {"region": [7] * n, "pair": [0] * n, "side": [-1] * n, "node": range(n), "root": range(n), "n": [100] * n, "tree": [0] * n}
+    blobs = {"sketch": [x.tobytes() for x in sketches], "regions": [bytes(8 * rule.trees)] * n}
+    rows = pa.table({k: pa.array(list(v), pa.int64()) for k, v in columns.items()} | {k: pa.array(v) for k, v in blobs.items()})
     batches = rows.to_batches(max_chunksize=7)
 
     def found(last):
@@ -115,8 +116,9 @@ def test_two_components_are_tried_by_few_pairs():
     rng, rule = np.random.default_rng(1), neardup.Forest()
     n = 40
     sketches = [(rng.integers(0, 2, rule.values) * (rng.random(rule.values) < 0.2)).astype(np.uint8) for _ in range(n)]
-    columns = {"region": [7] * n, "pair": [0] * n, "side": [-1] * n, "node": range(n), "root": [k // 20 for k in range(n)], "n": [100] * n}
-    rows = pa.table({k: pa.array(list(v), pa.int64()) for k, v in columns.items()} | {"sketch": pa.array([x.tobytes() for x in sketches])})
+    columns = {"region": [7] * n, "pair": [0] * n, "side": [-1] * n, "node": range(n), "root": [k // 20 for k in range(n)], "n": [100] * n, "tree": [0] * n}
+    blobs = {"sketch": [x.tobytes() for x in sketches], "regions": [bytes(8 * rule.trees)] * n}
+    rows = pa.table({k: pa.array(list(v), pa.int64()) for k, v in columns.items()} | {k: pa.array(v) for k, v in blobs.items()})
     (made,) = neardup._meetings(rule, 4, iter(rows.to_batches()))
     made = made.to_pydict()
     pairs = {(min(p), max(p)) for p in zip(made["a"], made["b"]) if p[0] != p[1]}
@@ -125,6 +127,35 @@ def test_two_components_are_tried_by_few_pairs():
     assert sorted(agree[p] for p in pairs) == sorted(agree.values())[-4:]
 
 
+def test_a_pair_belongs_to_one_tree():
+    """Rows that share regions in several trees give each pair once, in the first of these trees."""
+    import pyarrow as pa
+
+    rng, rule = np.random.default_rng(3), neardup.Forest()
+    base = rng.integers(0, 2**32, rule.values, dtype=np.uint64).astype(np.uint32)
+    rows = np.array([np.where(rng.random(rule.values) < 0.15, rng.integers(0, 2**32, rule.values, dtype=np.uint64).astype(np.uint32), base) for _ in range(25)])
+    ids = pa.array(range(25), pa.int64())
+    given = pa.RecordBatch.from_arrays([ids, ids, pa.array([100] * 25, pa.int64()), pa.array([x.astype(">u4").tobytes() for x in rows])], ["node", "root", "n", "signature"])
+    made = pa.Table.from_batches(list(neardup._regions(rule, iter([given])))).sort_by([("region", "ascending"), ("root", "ascending")])
+    made = made.append_column("pair", pa.array([0] * len(made), pa.int64())).append_column("side", pa.array([-1] * len(made), pa.int64()))
+    got = [(a, b) for x in neardup._meetings(rule, 1000, iter(made.to_batches(max_chunksize=11))) for a, b, _ in zip(*x.to_pydict().values())]
+    same = rows[:, None] == rows[None]
+    lead = same.reshape(25, 25, rule.trees, rule.depth)[..., : rule.shallow].all(axis=-1).sum(axis=-1)
+    near = ((rows & 255)[:, None] == (rows & 255)[None]).sum(axis=-1) >= rule.least_agreement * rule.values
+    want = [(a, b) for a in range(25) for b in range(a + 1, 25) if lead[a, b] and near[a, b]]
+    assert sorted(got) == want and lead[np.triu_indices(25, 1)].max() > 2
+
+
+def test_words_of_one_polynomial_are_not_alike(docs_of):
+    """Thue-Morse words have equal polynomials modulo 2^64 whatever the base; their texts share nothing."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, word, "en", "s"), (2, word.translate(str.maketrans("ab", "ba")), "en", "s"), (3, word, "en", "s")]
+    got = neardup.near_duplicates(docs_of(rows), neardup.Forest(shingle=4)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 2, 3: 1}
+
+
 def test_keep_one(docs_of, copies):
     df = docs_of(copies)
     kept = neardup.keep_one(df)
