@@ -61,8 +61,10 @@ def windows_of(text: str | None, words: int) -> list[bytes]:
 
 
 def trained(samples: list[bytes], size: int) -> bytes:
-    """Dictionary content for the samples; with too few to train on, the samples themselves."""
+    """Dictionary content for the samples; if they fit as they are, or cannot be trained on, the samples themselves."""
     whole = b" ".join(samples)
+    if len(whole) <= size:
+        return whole
     try:
         made = zstandard.train_dictionary(size, samples, level=3).as_bytes()
     except zstandard.ZstdError:

@@ -307,6 +307,19 @@ def test_toxicity(spark, docs_of, sample):
     assert all(0 <= r.score <= 1 for r in toxicity.score(docs_of(sample), one).collect())
 
 
+def test_toxicity_of_repeated_ids_and_short_words(spark, docs_of):
+    """A training does not depend on the order of rows, and words of two letters are evidence."""
+    plain = ["the cat sat on a mat", "we go home now then", "rain falls on the hill"]
+    rows = [(k, f"{plain[k % 3]} {'zq vx' if k % 2 else 'so it'} {plain[(k + 1) % 3]}") for k in range(40)]
+    rows += [(k, f"another text of {k}") for k in range(0, 40, 4)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)] + [(1, 0), (3, None)], "doc_id long, toxic int")
+    one = toxicity.fit(docs_of(rows, 1), labels)
+    two = toxicity.fit(docs_of(rows[::-1], 7), labels)
+    assert (one.ordinary, one.toxic) == (two.ordinary, two.toxic)
+    assert b"zq" in one.toxic and b"cat" not in one.toxic and b"zq" not in one.ordinary
+    assert np.allclose(one.weights, two.weights) and np.isclose(one.bias, two.bias)
+
+
 def test_empty_tables(spark, docs_of):
     none = docs_of([])
     assert quality.assess(none).count() == 0 and quality.keep_good(none).columns == none.columns
