@@ -150,3 +150,19 @@ def test_many_ranges(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = dict(rows(df.select("i", fn.bucketize(F.col("t"), ranges, "r").alias("b"))))
     assert got == {i: brute(t) for i, t in enumerate(texts)}
+
+
+def test_few_ends_are_compared_as_many_are_searched(spark, monkeypatch):
+    from payscore.functions import bucketize, buckets
+    from payscore.sources.config import Range
+
+    ranges = [Range(1, "1", "f", 0, 10, "a", ""), Range(2, "1", "f", 5, 20, "b", ""), Range(3, "1", "f", 30, 40, "c", "")]
+    texts = [None, "", "null", "x", "NaN", "-1", "0", "0.5", "5", "5.1", "10", "20", "25", "30", "30.1", "40", "41", "Infinity", "-Infinity"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    few = df.select("t", bucketize(df["t"], ranges, "f").alias("code"))
+    # Array functions are not compiled and slow down all of a projection.
+    assert "lambda" not in few._jdf.queryExecution().optimizedPlan().toString()
+    got = dict(few.collect())
+    monkeypatch.setattr(buckets, "FEW_ENDS", 0)
+    assert got == dict(df.select("t", bucketize(df["t"], ranges, "f")).collect())
+    assert got["5"] == "a" and got["5.1"] == "b" and got["25"] == "0" and got["40"] == "c" and got[None] == "9999"

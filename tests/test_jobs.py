@@ -103,3 +103,24 @@ def test_nothing_but_plain_joins(spark, prepared):
     done = bayes.fit_nb(customers.withColumn("codes", F.array("bank_code")).withColumn("label", F.col("trans_stat").cast("double")), ["b"])
     plan = executed(bayes.theta_table(done))
     assert "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_jobs_store_only_what_training_needs(prepared, monkeypatch):
+    customers, codes = prepared
+    seen = []
+
+    def watched(df, *more):
+        seen.append(df.columns)
+        return store(df, *more)
+
+    monkeypatch.setattr(jobs, "store", watched)
+    jobs.train_month(customers, codes, fx.FEATURES, 1)
+    months = jobs.month_models(customers, codes, fx.FEATURES, n_rounds=1)
+    order = sorted(months.params)
+    year = jobs.train_year(customers, codes, fx.FEATURES, months, order, 8)
+    needed = {"trans_code", "trans_bat_no", "codes", "label", "part", "acc_cust_month"}
+    tables = [set(columns) for columns in seen if "trans_code" in columns]
+    assert len(tables) == 3 and all(columns <= needed for columns in tables)
+    # The results have all columns, and their predictions are those that the metrics judge.
+    assert set(customers.columns) <= set(year.results.columns)
+    assert year.results.where("train_label IS NOT NULL").count() == year.metrics.first()["n_rows"]
