@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from payscore.llm.common import table, unpack, with_row
 from payscore.llm.components import TASK_ROWS, components
 from payscore.llm.shingles import chunks, mix, shingle_sets
-from payscore.shared import UNMEASURED, lookup, store
+from payscore.shared import UNMEASURED, Stored, lookup, store
 
 
 @dataclass(frozen=True)
@@ -52,6 +52,11 @@ class Forest:
     near: int = 16
     #: Classes of one block of a region.
     block_rows: int = 1024
+    #: A block of ``crowd_rows`` or more with over ``crowd_pairs`` candidates for each row is compared as a whole.
+    crowd_rows: int = 64
+    crowd_pairs: int = 4
+    #: Shingles of one block of such a region.
+    block_shingles: int = 4_000_000
     #: Candidates that agree in a smaller part of their values are too far apart (at 80 percent, one in 100,000 is).
     least_agreement: float = 0.62
     #: Rows of one range of a sorted order.
@@ -201,14 +206,8 @@ def _regions(rule: Forest, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
             yield pa.RecordBatch.from_arrays([own, tree, *batch.columns[:3], sketches, regions], ["region", "tree", "node", "root", "n", "sketch", "regions"])
 
 
-def _meetings(rule: Forest, last: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, more) of rows of one block that are in different components, near enough in size and sketch.
-
-    Rows come sorted by block and root. A pair belongs to the first tree in which both are in one region, and to no
-    other. Every two components give their ``last`` best pairs, and each row of these its ``last`` best, each pair
-    once with the lesser node as a; ``more`` tells that a had others, and both rows of a pair that is left out say so. A
-    row that is the lesser of none gives a pair with itself.
-    """
+def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows, sorted by region and pair, cut where a block ends."""
     held: pa.Table | None = None
     for batch in itertools.chain(batches, [None]):
         if batch is not None:
@@ -223,26 +222,30 @@ def _meetings(rule: Forest, last: int, batches: Iterator[pa.RecordBatch]) -> Ite
             ends = int(other[-1]) + 1 if len(other) else 0
         rows, held = held.slice(0, ends).combine_chunks(), held.slice(ends)
         if ends:
-            yield from _met(rule, last, rows)
+            yield rows
 
 
-def _met(rule: Forest, last: int, rows: pa.Table) -> Iterator[pa.RecordBatch]:
-    """The pairs of whole blocks."""
-    region, pair, side, node, root, size = (rows.column(c).to_numpy() for c in ("region", "pair", "side", "node", "root", "n"))
+def _alike(rule: Forest, rows: pa.Table, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Candidates (here, there, value) of whole blocks: rows in different components, near enough in size and sketch.
+
+    Rows come sorted by block and root, ``starts`` are where blocks start. A pair belongs to the first tree in which
+    both are in one region, and to no other.
+    """
+    side, root, size = (rows.column(c).to_numpy() for c in ("side", "root", "n"))
     sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(rows), rule.values)
     regions = np.frombuffer(b"".join(rows.column("regions").to_pylist()), np.uint64).reshape(len(rows), rule.trees)
     earlier = np.arange(rule.trees) < rows.column("tree").to_numpy()[:, None]
 
     def ends(fresh: np.ndarray) -> np.ndarray:
         """For each row, where its run ends."""
-        starts = np.flatnonzero(np.concatenate([[True], fresh, [True]]))
-        return np.repeat(starts[1:], np.diff(starts))
+        cuts = np.flatnonzero(np.concatenate([[True], fresh, [True]]))
+        return np.repeat(cuts[1:], np.diff(cuts))
 
-    new_block = (region[1:] != region[:-1]) | (pair[1:] != pair[:-1])
+    new_block = np.zeros(len(rows), bool)
+    new_block[starts] = True
+    new_block = new_block[1:]
     block_end, root_end = ends(new_block), ends(new_block | (root[1:] != root[:-1]))
     partners = block_end - root_end
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    many = 0
     some = np.flatnonzero(partners)
     # About 200,000 pairs at a time.
     cuts = np.searchsorted(np.cumsum(partners[some]), np.arange(200_000, partners.sum() + 200_000, 200_000))
@@ -255,14 +258,94 @@ def _met(rule: Forest, last: int, rows: pa.Table) -> Iterator[pa.RecordBatch]:
         good = value >= rule.least_agreement * rule.values
         here, there, value = here[good], there[good], value[good]
         first = ~((regions[here] == regions[there]) & earlier[here]).any(axis=1)
-        here, there, value = here[first], there[first], value[first]
-        found.append((here, there, value))
-        many += len(here)
+        yield here[first], there[first], value[first]
+
+
+def _block_starts(rows: pa.Table) -> np.ndarray:
+    region, pair = rows.column("region").to_numpy(), rows.column("pair").to_numpy()
+    return np.flatnonzero(np.concatenate([[True], (region[1:] != region[:-1]) | (pair[1:] != pair[:-1])]))
+
+
+def _meetings(rule: Forest, last: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b, more) of the candidates of each block. A crowded block gives none but its region as a, without b.
+
+    Every two components give their ``last`` best pairs, and each row of these its ``last`` best, each pair
+    once with the lesser node as a; ``more`` tells that a had others, and both rows of a pair that is left out say so. A
+    row that is the lesser of none gives a pair with itself.
+    """
+    for rows in _whole_blocks(batches):
+        yield from _met(rule, last, rows)
+
+
+def _met(rule: Forest, last: int, rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """The pairs of whole blocks."""
+    region, node, root = (rows.column(c).to_numpy() for c in ("region", "node", "root"))
+    starts = _block_starts(rows)
+    sizes = np.diff(np.concatenate([starts, [len(rows)]]))
+    block = np.repeat(np.arange(len(starts)), sizes)
+    seen, crowded = np.zeros(len(starts), np.int64), np.zeros(len(starts), bool)
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    many = 0
+
+    def ranked() -> Iterator[pa.RecordBatch]:
+        kept = [tuple(x[~crowded[block[c[0]]]] for x in c) for c in found]
+        if sum(len(c[0]) for c in kept):
+            yield _ranked(kept, last, node, root)
+
+    for pairs in _alike(rule, rows, starts):
+        seen += np.bincount(block[pairs[0]], minlength=len(starts))
+        crowded = (sizes >= rule.crowd_rows) & (seen > rule.crowd_pairs * sizes)
+        found.append(pairs)
+        many += len(pairs[0])
         if many > 500_000:
-            yield _ranked(found, last, node, root)
+            yield from ranked()
             found, many = [], 0
-    if many:
-        yield _ranked(found, last, node, root)
+    yield from ranked()
+    if crowded.any():
+        full = np.unique(region[starts[crowded]])
+        none = pa.nulls(len(full))
+        yield pa.RecordBatch.from_arrays([pa.array(full), none.cast(pa.int64()), none.cast(pa.bool_())], ["a", "b", "more"])
+
+
+def _linked_within(rule: Forest, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) that join the components of each block as far as its candidates are near on full sets."""
+    for rows in _whole_blocks(batches):
+        starts = _block_starts(rows)
+        for start, stop in zip(starts, [*starts[1:], len(rows)], strict=True):
+            a, b = _spanned(rule, rows.slice(start, stop - start).combine_chunks())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def _spanned(rule: Forest, rows: pa.Table) -> tuple[list[int], list[int]]:
+    """The links of one block. Texts in one component already, also by a link found here, are not compared."""
+    node = rows.column("node").to_numpy()
+    parts = [(data, offsets) for chunk in rows.column("text").chunks for _, data, offsets in chunks(chunk)]
+    read = [shingle_sets(data, offsets, rule.shingle) for data, offsets in parts]
+    counts = np.concatenate([c for _, c in read])
+    values, ids = np.unique(np.concatenate([v for v, _ in read]), return_inverse=True)
+    ends = np.cumsum(counts)
+    sets = np.split(ids, ends[:-1])
+    own = np.unique(rows.column("root").to_numpy(), return_inverse=True)[1]
+    mark = np.zeros(len(values), bool)
+    a: list[int] = []
+    b: list[int] = []
+    for here, there, _ in _alike(rule, rows, np.zeros(1, np.int64)):
+        # All pairs of a row are together.
+        cuts = np.flatnonzero(np.concatenate([[True], here[1:] != here[:-1]])) if len(here) else []
+        for i, others in zip(here[cuts], np.split(there, cuts[1:]), strict=True) if len(here) else ():
+            others = others[(own[others] != own[i]) & (counts[others] > 0)]
+            if not len(others):
+                continue
+            mark[sets[i]] = True
+            both = np.add.reduceat(mark[np.concatenate([sets[k] for k in others])], np.cumsum(counts[others]) - counts[others], dtype=np.int64)
+            mark[sets[i]] = False
+            near = others[(100 * both >= rule.percent * (counts[i] + counts[others] - both)) & (both > 0)]
+            met, first = np.unique(own[near], return_index=True)
+            if len(met):
+                a += [int(node[i])] * len(met)
+                b += node[near[first]].tolist()
+                own[np.isin(own, met)] = own[i]
+    return a, b
 
 
 def _ranked(
@@ -341,7 +424,7 @@ def linked(docs: DataFrame, rule: Forest = Forest()) -> tuple[DataFrame, DataFra
     members = rows.select("doc_id", "n_shingles", "node")
     met = rows.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"), F.min("signature").alias("signature"), F.min("n_shingles").alias("n"))
     nodes = store(met, UNMEASURED)
-    roots, done, texts = None, None, None
+    roots, done, texts, crowded = None, None, None, None
     active, ranges = nodes, max(1, -(-nodes.rows * rule.trees // rule.range_rows))
     nodes = nodes.df
     for turn in itertools.count():
@@ -354,7 +437,7 @@ def linked(docs: DataFrame, rule: Forest = Forest()) -> tuple[DataFrame, DataFra
             near = store(_candidates(given, rule, ranges, (1, rule.near)[turn], turn > 0), UNMEASURED)
             pairs = near.df.where("value >= 0").groupBy("a").agg(F.max_by("b", F.struct("value", "b")).alias("b"))
         else:
-            near = store(_all_candidates(given, rule, 4 ** (turn - 1)), UNMEASURED)
+            near = store(_all_candidates(given, rule, 4 ** (turn - 1), crowded), UNMEASURED)
             pairs = near.df.where("a <> b")
         if turn == 0:
             # Only classes that share a label with another can be linked, now or later.
@@ -376,6 +459,14 @@ def linked(docs: DataFrame, rule: Forest = Forest()) -> tuple[DataFrame, DataFra
             new = store(full.mapInArrow(lambda batches: _confirm(rule, batches), "a long, b long"), UNMEASURED)
         if new is not None and new.rows:
             roots = store(_joined(new.df, roots), UNMEASURED).df
+        if turn > 1:
+            full = store(near.df.where("b IS NULL").select(F.col("a").alias("crowded")).distinct(), 24)
+            if full.rows:
+                # All pairs of these regions are settled now, so later turns leave them out.
+                new = store(_crowds(given, rule, full, texts), UNMEASURED)
+                crowded = full if crowded is None else store(crowded.df.unionAll(full.df), 24)
+                if new.rows:
+                    roots = store(_joined(new.df, roots), UNMEASURED).df
         if turn > 0 and not active.rows:
             break
     if roots is None:
@@ -408,15 +499,42 @@ def _candidates(given: DataFrame, rule: Forest, ranges: int, reach: int, sketche
     return order.drop("tie").mapInArrow(lambda batches: _neighbours(rule, reach, batches), "a long, b long, value int")
 
 
-def _all_candidates(given: DataFrame, rule: Forest, last: int) -> DataFrame:
-    """For each of (node, root, n, signature) the ``last`` best of all that share leading values with it in a tree."""
+def _all_candidates(given: DataFrame, rule: Forest, last: int, crowded: Stored | None) -> DataFrame:
+    """For each of (node, root, n, signature) the ``last`` best of all that share leading values with it in a tree,
+    but for the crowded regions, which were compared as a whole."""
     order = given.mapInArrow(lambda batches: _regions(rule, batches), _REGIONS)
-    regions = order.groupBy("region").agg(F.count(F.lit(1)).alias("rows"), (F.min("root") != F.max("root")).alias("several"))
-    big = regions.where(F.col("rows") > rule.block_rows).withColumn("blocks", F.ceil(F.col("rows") / rule.block_rows))
-    big = store(big.select(F.col("region").alias("r"), "rows", F.when(F.col("several"), F.col("blocks")).otherwise(0).alias("blocks")), 24)
+    if crowded is not None:
+        order = lookup(order, crowded, {"region": "crowded"}, "left_anti")
     total = given.count() * rule.trees
+    cut, more = _blocks(order, rule)
+    cut = cut.repartition(max(1, -(-(total + more) // rule.range_rows)), "region", "pair").sortWithinPartitions("region", "pair", "root")
+    return cut.mapInArrow(lambda batches: _meetings(rule, last, batches), "a long, b long, more boolean")
+
+
+def _crowds(given: DataFrame, rule: Forest, crowded: Stored, texts: DataFrame) -> DataFrame:
+    """Links (a, b) of all candidates of the crowded regions, whose blocks get the texts."""
+    order = given.mapInArrow(lambda batches: _regions(rule, batches), _REGIONS)
+    order = store(lookup(order, crowded, {"region": "crowded"}, "left_semi"), UNMEASURED)
+    cut, more = _blocks(order.df, rule, rule.block_shingles)
+    size = order.df.agg(F.sum("n")).first()[0] * (order.rows + more) // order.rows
+    tasks = max(1, -(-size // rule.block_shingles), -(-(order.rows + more) // (2 * rule.block_rows)))
+    cut = cut.join(texts, "node").repartition(tasks, "region", "pair").sortWithinPartitions("region", "pair", "root")
+    return cut.mapInArrow(lambda batches: _linked_within(rule, batches), "a long, b long")
+
+
+def _blocks(order: DataFrame, rule: Forest, shingles: int | None = None) -> tuple[DataFrame, int]:
+    """The rows of all regions, those of large ones once for every two blocks, and how many rows this adds."""
+    regions = order.groupBy("region").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("n").alias("n"), (F.min("root") != F.max("root")).alias("several")
+    )
+    blocks = F.ceil(F.col("rows") / rule.block_rows)
+    if shingles is not None:
+        blocks = F.greatest(blocks, F.least(F.ceil(F.col("n") / shingles), "rows"))
+    big = regions.withColumn("blocks", blocks).where("blocks > 1")
+    big = store(big.select(F.col("region").alias("r"), "rows", F.when(F.col("several"), F.col("blocks")).otherwise(0).alias("blocks")), 24)
+    more = 0
     if big.rows:
-        total += big.df.agg(F.sum((F.col("blocks") - 1) * F.col("rows"))).first()[0]
+        more = big.df.agg(F.sum((F.col("blocks") - 1) * F.col("rows"))).first()[0]
         blocks = F.coalesce("blocks", F.lit(1)).cast("long")
         cut = lookup(order, big.select("r", "blocks"), {"region": "r"}).select(*order.columns, blocks.alias("blocks"))
         # A region of one component has no blocks.
@@ -426,9 +544,7 @@ def _all_candidates(given: DataFrame, rule: Forest, last: int) -> DataFrame:
         side = F.when(F.col("part") == F.col("other"), -1).otherwise(F.col("part"))
     else:
         cut, pair, side = order, F.lit(0).cast("long"), F.lit(-1)
-    cut = cut.select("region", pair.alias("pair"), side.cast("long").alias("side"), "tree", "node", "root", "n", "sketch", "regions")
-    cut = cut.repartition(max(1, -(-total // rule.range_rows)), "region", "pair").sortWithinPartitions("region", "pair", "root")
-    return cut.mapInArrow(lambda batches: _meetings(rule, last, batches), "a long, b long, more boolean")
+    return cut.select("region", pair.alias("pair"), side.cast("long").alias("side"), "tree", "node", "root", "n", "sketch", "regions"), more
 
 
 def _texts_of(docs: DataFrame, rows: DataFrame, active: DataFrame) -> DataFrame:

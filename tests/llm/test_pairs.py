@@ -344,3 +344,35 @@ def test_empty_tables(spark, docs_of):
     assert decontaminate.without_leaks(docs_of([(1, "text")]), items).count() == 1
     lonely = docs_of([(1, None), (2, ""), (None, None)])
     assert {(r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(lonely).collect()} == {(1, 1, True), (2, 2, True), (None, None, True)}
+
+
+def test_a_crowd_of_alike_texts_gives_no_square_of_pairs(docs_of, monkeypatch):
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(120)]
+    texts = []
+    for _ in range(400):
+        words = list(base)
+        for k in rng.sample(range(120), 3):
+            words[k] = f"x{rng.randrange(10**9)}"
+        texts.append(" ".join(words))
+    sets = [{tuple(t.split()[k : k + 4]) for k in range(117)} for t in texts]
+    least = list(range(400))
+    for i in range(400):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both) and least[i] != least[j]:
+                low, high = sorted((least[i], least[j]))
+                least = [low if x == high else x for x in least]
+    made = []
+
+    def watched(df, *more, write=neardup.store):
+        out = write(df, *more)
+        if set(df.columns) >= {"a", "b"}:
+            made.append(out.rows)
+        return out
+
+    monkeypatch.setattr(neardup, "store", watched)
+    got = neardup.near_duplicates(docs_of(list(enumerate(texts))), neardup.Forest(shingle=4))
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == dict(enumerate(least))
+    assert 20 < len(set(least)) < 400
+    assert sum(made) < 20_000, made
