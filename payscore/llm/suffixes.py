@@ -24,11 +24,23 @@ def _eight(data: np.ndarray, big: bool) -> np.ndarray:
     return view.astype(np.uint64)
 
 
-def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def sorted_by(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """A sorting order of unsigned numbers of ``bits`` bits, and the numbers in it."""
+    places = max(len(keys) - 1, 1).bit_length()
+    if bits + places > 64:
+        by = np.argsort(keys)
+        return by, keys[by]
+    # Numbers that carry their places are sorted by value, much faster than places by numbers.
+    both = (keys << np.uint64(places)) | np.arange(len(keys), dtype=np.uint64)
+    both.sort()
+    return (both & np.uint64((1 << places) - 1)).astype(np.int64), both >> np.uint64(places)
+
+
+def _grouped(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """A sorting order, and for each place in it the place where its group of equal keys starts."""
-    by = np.argsort(keys, kind="stable")
+    by, keys = sorted_by(keys, bits)
     fresh = np.ones(len(keys), bool)
-    fresh[1:] = keys[by[1:]] != keys[by[:-1]]
+    fresh[1:] = keys[1:] != keys[:-1]
     return by, np.maximum.accumulate(np.where(fresh, np.arange(len(keys)), 0))
 
 
@@ -42,7 +54,7 @@ def order(data: np.ndarray, ends: np.ndarray, starts: np.ndarray, depth: int) ->
     left = ends - np.arange(n, dtype=np.int32)
     here = np.flatnonzero(left >= 8)
     rank = np.zeros(n, np.int32)
-    by, group = _grouped(_eight(data, True)[here])
+    by, group = _grouped(_eight(data, True)[here], 64)
     rank[here[by]] = group
     known = 8
     while known < depth:
@@ -55,15 +67,16 @@ def order(data: np.ndarray, ends: np.ndarray, starts: np.ndarray, depth: int) ->
         alone = np.bincount(rank[here], minlength=1)[rank[here]] == 1
         some = here[~alone]
         if len(some):
-            keys = (rank[some].astype(np.uint64) << np.uint64(32)) | rank[some + step].astype(np.uint64)
-            by, group = _grouped(keys)
+            wide = max(n - 1, 1).bit_length()
+            keys = (rank[some].astype(np.uint64) << np.uint64(wide)) | rank[some + step].astype(np.uint64)
+            by, group = _grouped(keys, 2 * wide)
             old = rank[some[by]]
             first = np.ones(len(old), bool)
             first[1:] = old[1:] != old[:-1]
             base = np.maximum.accumulate(np.where(first, np.arange(len(old)), 0))
             rank[some[by]] = old + (group - base)
         known += step
-    return starts[np.argsort(rank[starts], kind="stable")]
+    return starts[sorted_by(rank[starts].astype(np.uint64), 32)[0]]
 
 
 def common_prefixes(data: np.ndarray, sorted_starts: np.ndarray, depth: int) -> np.ndarray:
@@ -99,10 +112,12 @@ def _extended(words: np.ndarray, data: np.ndarray, a: np.ndarray, b: np.ndarray,
     """How far the bytes from ``a`` and from ``b`` on agree, given that ``known`` do."""
     known = known.copy()
     some = np.flatnonzero(known < depth)
+    # Every window lies in its text, so places below the depth are places of the data.
+    x, y = a[some] + known[some], b[some] + known[some]
     while len(some):
-        x = words[np.minimum(a[some] + known[some], len(words) - 1)] ^ words[np.minimum(b[some] + known[some], len(words) - 1)]
-        low = x & (~x + np.uint64(1))
-        same = np.where(x == 0, 8, np.bitwise_count(low - np.uint64(1)).astype(np.int64) // 8)
-        known[some] += same
-        some = some[(same == 8) & (known[some] < depth)]
+        differ = words[x] ^ words[y]
+        # The bits below the lowest that differs; all 64 where none does.
+        known[some] += np.bitwise_count(~differ & (differ - np.uint64(1))) >> 3
+        more = (differ == 0) & (known[some] < depth)
+        some, x, y = some[more], x[more] + 8, y[more] + 8
     return np.minimum(known, depth)

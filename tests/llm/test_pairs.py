@@ -234,6 +234,37 @@ def test_passages(docs_of, sample, rule):
     assert {k: sorted(v) for k, v in got.items()} == brute_passages([(r[0], (r[1] or "").encode()) for r in rows])
 
 
+def test_passages_by_groups_of_ranges(spark, docs_of, monkeypatch):
+    """Rows between shards and ranges stay few when there are many ranges, common and hot passages included, with the same result."""
+    rng = random.Random(12)
+    text = lambda n: bytes(rng.choice(b"abcdefgh \n") for _ in range(n)).decode()
+    common, pool = text(70), [text(rng.randint(50, 400)) for _ in range(40)]
+    rows = []
+    for k in range(150):
+        parts = [text(rng.randint(0, 500)), common, text(rng.randint(0, 90)), rng.choice(pool), rng.choice(pool)[rng.randint(0, 200) :], text(30)]
+        rng.shuffle(parts)
+        rows.append((rng.randint(0, 140) if k % 9 else None, "".join(parts) + "z" * rng.choice([0, 0, 0, 120])))
+    want = brute_passages([(r[0], r[1].encode()) for r in rows])
+    rows_of, made = substrings.store, []
+
+    def store(df, *a):
+        made.append(rows_of(df, *a))
+        return made[-1]
+
+    monkeypatch.setattr(substrings, "store", store)
+    docs = docs_of(rows, 2)
+    usual = dict(range_marks=1, range_bytes=30)
+    for more in ({}, dict(groups=4, together=1 << 16, array_bytes=400), dict(shard_bytes=9000, groups=16, together=4, sent_runs=50, hot_runs=20, array_bytes=400)):
+        made.clear()
+        got = collections.defaultdict(list)
+        for r in substrings.without_repeats(docs, substrings.Passages(**usual, **more)).collect():
+            got[r.doc_id].append((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256))
+        assert {k: sorted(v) for k, v in got.items()} == want
+        shards, flags, answers = (x.rows for x in made)
+        if "sent_runs" not in more:
+            assert shards <= 2 and max(flags, answers) <= shards * more.get("groups", 512)
+
+
 def test_suffix_arrays():
     rng = random.Random(1)
     for _ in range(150):
