@@ -60,7 +60,7 @@ class Passages:
     range_marks: int = 1 << 19
     range_bytes: int = 2 << 20
     #: Ranges from which on rows hold several, and how many at most.
-    groups: int = 512
+    groups: int = 1024
     together: int = 16
     array_bytes: int = 1 << 19
     hot_runs: int = 100_000
@@ -564,7 +564,8 @@ def without_repeats(docs: DataFrame, rule: Passages = Passages()) -> DataFrame:
     low = min(32, bits - heaps)
     inside = min(low, spread - heaps)
     sent = known.mapInArrow(lambda b: _cut(rule, bits, heaps, b), _SENT)
-    answers = store(sent.groupBy("q").applyInArrow(lambda t: _answered(rule, low, inside, t), _ANSWER), UNMEASURED).df
+    # Not stored: in one plan, the texts that are cut and those that answers are applied to come from one exchange.
+    answers = sent.groupBy("q").applyInArrow(lambda t: _answered(rule, low, inside, t), _ANSWER)
     back = answers.groupBy(F.col("shard").alias("s")).agg(F.collect_list(F.struct("block", "q", "n", "bits")).alias("answers"))
     known = known.join(back, F.col("s") == F.col("shard"), "left").drop("s")
     return known.mapInArrow(lambda b: _applied(rule, bits, b), _KEPT)

@@ -260,9 +260,9 @@ def test_passages_by_groups_of_ranges(spark, docs_of, monkeypatch):
         for r in substrings.without_repeats(docs, substrings.Passages(**usual, **more)).collect():
             got[r.doc_id].append((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256))
         assert {k: sorted(v) for k, v in got.items()} == want
-        shards, flags, answers = (x.rows for x in made)
-        if "sent_runs" not in more:
-            assert shards <= 2 and max(flags, answers) <= shards * more.get("groups", 512)
+        shards, lists = (x.rows for x in made[:2])
+        assert "shard_bytes" in more or shards <= 2
+        assert lists <= shards * more.get("groups", 1024)
 
 
 def test_suffix_arrays():
